@@ -248,7 +248,7 @@ SELECT c_custkey, CASE WHEN c_nationkey NOT IN (3, 4) THEN c_acctbal END AS lon,
 FROM customer""",
     "sales_by_month": f"""{_with(SALES)}
 SELECT strftime(sale_date, '%Y-%m-01') AS sale_month, county,
-       round(sum(liters)) AS total_sold_liters, round(sum(dollars)) AS total_sale_dollars
+       round(sum(liters), 2) AS total_sold_liters, round(sum(dollars), 2) AS total_sale_dollars
 FROM sales WHERE year(sale_date) BETWEEN 1996 AND 1999 GROUP BY ALL""",
     "loaded_dimension": f"{_with(PEOPLE)} SELECT fips, county, year, population FROM people",
     "all_marts_after_refresh": f"""{_with(

@@ -293,6 +293,7 @@ def sales_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
         kept,
         [month, "county"],
         {"total_sold_liters": "volume_sold_liters", "total_sale_dollars": "sale_dollars"},
+        digits=2,  # cents: sums of doubles are not exact enough to round halves of a dollar
     )
 
 
