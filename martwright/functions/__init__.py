@@ -1,4 +1,4 @@
-from .casts import null_if_token, parse_timestamp, strict_cast, text_or_empty
+from .casts import null_if_token, parse_timestamp, strict_cast, text_or_empty, timestamp_or_null
 from .names import title_case, title_case_columns
 from .points import parse_point
 from .text import count_or_zero, remove_literal, trailing_year
@@ -14,6 +14,7 @@ __all__ = [
     "remove_literal",
     "strict_cast",
     "text_or_empty",
+    "timestamp_or_null",
     "title_case",
     "title_case_columns",
     "trailing_year",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from .. import presets
 
 # Java accepts a type suffix and hexadecimal floats as numbers; a CSV must not contain them.
-_JAVA_ONLY_NUMBER = r"(?i)(?<!in)[df]\s*$|0x"
+JAVA_ONLY_NUMBER = r"(?i)(?<!in)[df]\b|0x"
 
 
 def text_or_empty(value: Column) -> Column:
@@ -34,12 +34,13 @@ def strict_cast(value: Column, kind: T.DataType, label: str = "value") -> Column
     """Cast text; NULL stays NULL, any other text that does not convert raises."""
     converted = value.try_cast(kind)
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        converted = F.when(~F.rlike(value, F.lit(_JAVA_ONLY_NUMBER)), converted)
+        converted = F.when(~F.rlike(value, F.lit(JAVA_ONLY_NUMBER)), converted)
     return _or_fail(value, converted, kind.simpleString(), label)
 
 
-def parse_timestamp(value: Column, patterns: Sequence[str], label: str = "value") -> Column:
-    """Zone-free timestamp of the first matching pattern; no match raises."""
+def timestamp_or_null(value: Column, patterns: Sequence[str]) -> Column:
+    """Zone-free timestamp of the first matching pattern. In ANSI mode a text that matches
+    none raises, otherwise it gives NULL."""
     if not patterns:
         raise ValueError("give at least one timestamp pattern")
     text = F.ltrim(value)
@@ -47,4 +48,9 @@ def parse_timestamp(value: Column, patterns: Sequence[str], label: str = "value"
     for pattern in reversed(patterns[:-1]):
         matches = F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
         converted = F.when(matches, F.to_timestamp_ntz(text, F.lit(pattern))).otherwise(converted)
-    return _or_fail(value, converted, "timestamp", label)
+    return converted
+
+
+def parse_timestamp(value: Column, patterns: Sequence[str], label: str = "value") -> Column:
+    """As above, but no match raises in every mode."""
+    return _or_fail(value, timestamp_or_null(value, patterns), "timestamp", label)

@@ -13,8 +13,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Unicode white space. Java's \s alone misses the separators \x1c-\x1f, NEL and \p{Z}.
-_BLANKS = r"[\s\x1c-\x1f\u0085\p{Z}]+"
+# Unicode white space and the separators \x1c-\x1f. Without (?U), \s is ASCII only.
+_BLANKS = r"(?U)[\s\x1c-\x1f]+"
 
 
 def _capitalise_words(value: Column) -> Column:
@@ -39,23 +39,16 @@ def _raise_third_letter(value: Column) -> Column:
     return F.when(prefixed, raised).otherwise(value)
 
 
-_STEPS = (_capitalise_words, _capitalise_hyphen_pieces, _raise_third_letter)
-
-
 def title_case(value: Column) -> Column:
     """Title-case one value."""
-    for step in _STEPS:
-        value = step(value)
-    return value
+    return _raise_third_letter(_capitalise_hyphen_pieces(_capitalise_words(value)))
 
 
 def title_case_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Title-case several columns of a frame.
 
-    One projection per rule: each rule reads its input more than once, and a projection
-    boundary keeps that input computed once and the plan small for wide column lists.
+    All columns go into one projection. Spark moves their repeated parts into functions of
+    their own, which keeps the generated code below the size the JVM refuses to compile;
+    one projection per rule was twice as slow for seven columns.
     """
-    columns = tuple(columns)
-    for step in _STEPS:
-        df = df.withColumns({name: step(F.col(name)) for name in columns})
-    return df
+    return df.withColumns({name: title_case(F.col(name)) for name in columns})
