@@ -24,9 +24,11 @@ def write_by_month(
 
     The rebalance shuffle brings a month together so that it becomes few files, while
     adaptive execution cuts a month larger than the advisory partition size into several
-    tasks: a month with a third of all rows is neither one task nor one file. The sort
-    leads with the month because the partitioned writer needs that order; otherwise it
-    would sort again and lose the clustering.
+    tasks: a month with a third of all rows is neither one task nor one file. Give the
+    session many more shuffle partitions than there are months; months that share one are
+    cut together and get more, smaller files. The sort leads with the month because the
+    partitioned writer needs that order; otherwise it would sort again and lose the
+    clustering.
     """
     layout = df.withColumn(month_column, month_of(F.col(time_column)))
     (

@@ -1,0 +1,189 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from martwright.operators import add_population, population_by_region
+from martwright.plans import (
+    SalesRoles,
+    category_mart,
+    measures,
+    region_mart,
+    region_totals,
+    summarise,
+    top_categories,
+    year_mart,
+)
+
+from .conftest import plan_text, rows, sorted_rows
+
+
+def at(text):
+    return datetime.datetime.fromisoformat(text)
+
+
+SALES = [
+    # Adair: the top category of all years is not the one of 2012-2013.
+    ("Adair", "Gin", at("2011-06-01 00:00:00"), 100.0, 1000.0),
+    ("Adair", "Rum", at("2012-01-01 00:00:00"), 10.25, 20.5),
+    ("Adair", "Gin", at("2013-12-31 23:59:59"), 0.25, 0.0),
+    ("Adair", "Rum", at("2014-01-01 00:00:00"), 5.0, 5.0),
+    # Boone: a tie for the top category; two fips codes.
+    ("Boone", "Vodka", at("2012-05-05 00:00:00"), 3.0, 9.0),
+    ("Boone", "Tequila", at("2012-05-05 00:00:00"), 3.0, 9.0),
+    # Cass: no population. Dallas: nothing sold in the years.
+    ("Cass", "Gin", at("2012-05-05 00:00:00"), 1.0, 1.0),
+    ("Dallas", "Gin", at("2010-05-05 00:00:00"), 1.0, 1.0),
+    # Emmet: empty and missing categories, missing volume; the empty name sells most.
+    ("Emmet", "", at("2012-05-05 00:00:00"), 4.0, 4.0),
+    ("Emmet", None, at("2012-05-05 00:00:00"), 2.0, 4.0),
+    ("Emmet", "Gin", at("2012-05-05 00:00:00"), None, None),
+    # No county, no date.
+    (None, "Gin", at("2012-05-05 00:00:00"), 1.0, 1.0),
+    ("Adair", "Gin", None, 1.0, 1.0),
+]
+POPULATION = [
+    (1, "Adair", 2011, 999),
+    (1, "Adair", 2012, 7),
+    (1, "Adair", 2013, 0),
+    (2, "Boone", 2012, 10),
+    (3, "Boone", 2013, 5),
+    (4, "Dallas", 2012, 5),
+    (5, "Emmet", 2012, 4),
+    (6, "Floyd", 2012, 4),
+]
+MART = [
+    ("Adair", 4.0, 1, 11.0, 21.0, 1.57, "Gin"),
+    ("Boone", 10.0, 2, 6.0, 18.0, 0.6, "Tequila"),
+    ("Boone", 5.0, 3, 6.0, 18.0, 1.2, "Tequila"),
+    ("Emmet", 4.0, 5, 6.0, 8.0, 1.5, ""),
+]
+
+
+@pytest.fixture(scope="module")
+def sales(spark):
+    return spark.createDataFrame(
+        SALES,
+        "county string, category_name string, sale_date timestamp_ntz, "
+        "volume_sold_liters double, sale_dollars double",
+    )
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    return spark.createDataFrame(POPULATION, "fips long, county string, year long, population long")
+
+
+@pytest.fixture(params=["rows", "summary"])
+def facts(request, sales):
+    return measures(sales) if request.param == "rows" else summarise(measures(sales))
+
+
+def test_region_mart(facts, people):
+    mart = region_mart(facts, people, 2012, 2013)
+    assert mart.columns == [
+        "county", "avg_population", "fips", "total_sold_liters",
+        "total_sale_dollars", "liters_per_person", "category_name",
+    ]
+    assert sorted_rows(mart) == MART
+
+
+def test_year_mart(facts):
+    assert sorted_rows(year_mart(facts, 2012, 2013)) == [(2012, 24.0), (2013, 0.0)]
+
+
+def test_category_mart(facts):
+    assert sorted_rows(category_mart(facts, 2012, 2013)) == [
+        (None, 2.0),
+        ("", 4.0),
+        ("Gin", 2.0),
+        ("Rum", 10.0),
+        ("Tequila", 3.0),
+        ("Vodka", 3.0),
+    ]
+
+
+def test_region_totals_and_top_categories(facts):
+    totals = {r.county: r.total_sold_liters for r in region_totals(facts, 2012, 2013).collect()}
+    assert totals == {"Adair": 11.0, "Boone": 6.0, "Cass": 1.0, "Emmet": 6.0, None: 1.0}
+    best = {r.county: r.category_name for r in top_categories(facts).collect()}
+    assert best == {
+        "Adair": "Gin", "Boone": "Tequila", "Cass": "Gin", "Dallas": "Gin", "Emmet": "", None: "Gin",
+    }
+
+
+def test_window_and_aggregate_agree_on_the_top(sales, people):
+    by_window = {r.county: r.category_name for r in top_categories(measures(sales)).collect()}
+    by_aggregate = region_mart(measures(sales), people, 2012, 2013).collect()
+    assert all(by_window[r.county] == r.category_name for r in by_aggregate)
+
+
+def test_population_averages(people):
+    assert sorted_rows(population_by_region(people, 2012, 2013).filter("fips <= 3")) == [
+        ("Adair", 1, 4.0, 7.0),  # 3.5 rounds away from zero; the 0 counts
+        ("Boone", 2, 10.0, 10.0),
+        ("Boone", 3, 5.0, 5.0),
+    ]
+
+
+def test_join_fans_out_by_fips_and_drops_regions(spark, people):
+    totals = spark.createDataFrame([("Boone", 1.0), ("Cass", 2.0)], "county string, t double")
+    joined = add_population(totals, population_by_region(people, 2012, 2013), "county")
+    assert sorted((r.county, r.fips) for r in joined.collect()) == [("Boone", 2), ("Boone", 3)]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_zero_population(spark, conf, sales, ansi):
+    conf("spark.sql.ansi.enabled", ansi)
+    nobody = spark.createDataFrame(
+        [(5, "Emmet", 2012, 0)], "fips long, county string, year long, population long"
+    )
+    with pytest.raises(Exception, match="population is zero"):
+        region_mart(measures(sales), nobody, 2012, 2013).collect()
+    empty = region_mart(measures(sales), nobody, 2012, 2013, zero_population="null")
+    assert [r.liters_per_person for r in empty.collect()] == [None]
+    with pytest.raises(ValueError):
+        region_mart(measures(sales), nobody, zero_population="ignore")
+
+
+def test_other_column_names(spark, sales, people):
+    renamed = sales.toDF("area", "kind", "day", "amount_sold", "money")
+    roles = SalesRoles("area", "kind", "day", "amount_sold", "money")
+    assert sorted_rows(region_mart(measures(renamed, roles), people, 2012, 2013)) == MART
+
+
+def test_years_argument_only_prunes(sales):
+    pruned = measures(sales, years=(2012, 2013))
+    assert pruned.count() < sales.count()
+    assert sorted_rows(year_mart(pruned, 2012, 2013)) == sorted_rows(
+        year_mart(measures(sales), 2012, 2013)
+    )
+
+
+def test_sales_are_scanned_once(spark, sales, people, tmp_path):
+    sales.write.parquet(str(tmp_path / "sales"))
+    people.write.parquet(str(tmp_path / "people"))
+    mart = region_mart(
+        measures(spark.read.parquet(str(tmp_path / "sales"))),
+        spark.read.parquet(str(tmp_path / "people")),
+        2012,
+        2013,
+    )
+    plan = plan_text(mart)
+    assert plan.count("FileScan") == 2
+    assert "Window" not in plan and "Python" not in plan
+
+
+def test_a_third_of_all_rows_in_one_group(spark, people):
+    n = 90_000
+    hot = F.col("id") < n // 3
+    facts = spark.range(n).select(
+        F.when(hot, "Adair").otherwise(F.concat(F.lit("C"), F.col("id") % 500)).alias("county"),
+        F.when(hot, "Gin").otherwise(F.concat(F.lit("K"), F.col("id") % 700)).alias("category_name"),
+        F.lit(2012).alias("sale_year"),
+        F.lit(1.0).alias("sold_liters"),
+        F.lit(2.0).alias("sale_dollars"),
+    )
+    found = rows(region_mart(facts, people, 2012, 2012))
+    assert found == [("Adair", 7.0, 1, 30000.0, 60000.0, round(30000 / 7, 2), "Gin")]
+    assert dict(rows(year_mart(facts, 2012, 2012))) == {2012: 90000.0}

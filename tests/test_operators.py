@@ -1,0 +1,184 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from martwright.operators import (
+    join_top,
+    keep_valid_locations,
+    override_pairs,
+    replace_values,
+    rounded_totals,
+    top_per_group,
+    within_years,
+)
+from martwright.operators import repair
+from martwright.plans import cleanse_sales
+
+from .conftest import plan_text, rows, sorted_rows
+
+LOCATIONS = "id int, city string, county string"
+
+
+def test_valid_locations(spark):
+    df = spark.createDataFrame(
+        [
+            (1, "A", "B"),
+            (2, "", "B"),
+            (3, "A", ""),
+            (4, None, "B"),
+            (5, "A", None),
+            (6, "A", "EL PASO"),
+            (7, "A", "El Paso"),
+            (8, " ", "B"),
+        ],
+        LOCATIONS,
+    )
+    assert [r.id for r in keep_valid_locations(df).orderBy("id").collect()] == [1, 7, 8]
+    other = keep_valid_locations(df, excluded_county="B").orderBy("id")
+    assert [r.id for r in other.collect()] == [6, 7]
+
+
+def test_location_filter_reaches_the_scan(spark, tmp_path):
+    spark.createDataFrame([(1, "A", "B")], LOCATIONS).write.parquet(str(tmp_path / "t"))
+    plan = plan_text(keep_valid_locations(spark.read.parquet(str(tmp_path / "t"))))
+    assert "PushedFilters: [IsNotNull(city), IsNotNull(county), Not(EqualTo(city,))" in plan
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "date", "timestamp"])
+def test_years_are_inclusive(spark, kind):
+    texts = ["2011-12-31 23:59:59", "2012-01-01 00:00:00", "2013-12-31 23:59:59", "2014-01-01 00:00:00"]
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string")
+    df = df.select("t", F.col("t").cast(kind).alias("at"))
+    kept = within_years(df, 2012, 2013, "at")
+    assert [r.t for r in kept.orderBy("t").collect()] == texts[1:3]
+    assert "cast(at" not in plan_text(kept)
+
+
+RULES = {"OLD": "New", "A": "B", "B": "C"}
+ROWS = [(1, "OLD", "x"), (2, "old", "x"), (3, None, "x"), (4, "A", "x"), (5, "other", None)]
+REPLACED = [(1, "New", "x"), (2, "old", "x"), (3, None, "x"), (4, "B", "x"), (5, "other", None)]
+
+
+def forms(spark, rules, width):
+    """The same rules as a dictionary, a long dictionary and a table."""
+    many = dict(rules)
+    for i in range(repair.MAP_LIMIT):
+        key = f"unused {i}"
+        many[key if width == 1 else (key, key)] = "never"
+    flat = [((k,) if width == 1 else k) + (v,) for k, v in rules.items()]
+    table = spark.createDataFrame(flat, ", ".join(f"c{i} string" for i in range(width + 1)))
+    return {"map": rules, "large": many, "table": table}
+
+
+@pytest.mark.parametrize("form", ["map", "large", "table"])
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_replace_values(spark, conf, monkeypatch, form, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(repair, "BROADCAST_ROWS", 0)
+        conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    df = spark.createDataFrame(ROWS, LOCATIONS)
+    result = replace_values(df, "city", forms(spark, RULES, 1)[form])
+    assert result.columns == df.columns
+    assert sorted_rows(result) == REPLACED
+    if form != "map":
+        assert ("BroadcastHashJoin" in plan_text(result)) == broadcast
+
+
+PAIRS = {("A", "X"): "Y", ("A", "Y"): "Z", ("B", "X"): "W"}
+
+
+@pytest.mark.parametrize("form", ["map", "large", "table"])
+def test_override_pairs(spark, form):
+    data = [(1, "A", "X"), (2, "A", "Y"), (3, "B", "Y"), (4, None, "X"), (5, "A", None), (6, "a", "X")]
+    df = spark.createDataFrame(data, LOCATIONS)
+    result = override_pairs(df, forms(spark, PAIRS, 2)[form])
+    counties = {r.id: r.county for r in result.collect()}
+    assert counties == {1: "Y", 2: "Z", 3: "Y", 4: "X", 5: None, 6: "X"}
+    assert result.columns == df.columns
+
+
+def test_no_rules(spark):
+    df = spark.createDataFrame(ROWS, LOCATIONS)
+    assert sorted_rows(override_pairs(replace_values(df, "city", {}), {})) == ROWS
+    empty = spark.createDataFrame([], "a string, b string")
+    assert sorted_rows(replace_values(df, "city", empty)) == ROWS
+
+
+def test_bad_rules_are_rejected(spark):
+    df = spark.createDataFrame(ROWS, LOCATIONS)
+    twice = spark.createDataFrame([("A", "X", "1"), ("A", "X", "2")], "a string, b string, c string")
+    with pytest.raises(ValueError, match="A, X"):
+        override_pairs(df, twice)
+    with pytest.raises(ValueError):
+        replace_values(df, "city", twice)
+    with pytest.raises(ValueError):
+        replace_values(df, "city", spark.createDataFrame([("A", None)], "a string, b string"))
+    with pytest.raises(ValueError):
+        replace_values(df, "city", {"A": None})
+
+
+def test_cleansing_order(spark):
+    data = [
+        (1, "TOWN", "RAW"),  # county rule, then the pair rule sees its result
+        (2, "OLD TOWN", "RAW"),  # both rules, then the pair rule
+        (3, "TOWN", "GONE"),  # excluded before any rule could repair it
+        (4, "TOWN", "raw"),  # other case
+        (5, "MCX", "HY-VEE STORE"),
+    ]
+    df = spark.createDataFrame(data, LOCATIONS)
+    result = cleanse_sales(
+        df,
+        county_rules={"RAW": "MID", "GONE": "BACK"},
+        city_rules={"OLD TOWN": "TOWN"},
+        pair_rules={("TOWN", "MID"): "O'FINAL", ("TOWN", "Mid"): "too late"},
+        excluded_county="GONE",
+        title_cased=["county", "city"],
+    )
+    assert sorted_rows(result) == [
+        (1, "Town", "O'Final"),
+        (2, "Town", "O'Final"),
+        (4, "Town", "Raw"),
+        (5, "McX", "Hy-Vee store"),
+    ]
+
+
+def test_cleansing_with_default_rules(spark):
+    data = [(1, "OTUMWA", "OBRIEN"), (2, "DUBUQUE", "IOWA"), (3, "MCGREGOR", "CLAYTON"), (4, "X", "EL PASO")]
+    result = cleanse_sales(spark.createDataFrame(data, LOCATIONS), title_cased=["county", "city"])
+    assert sorted_rows(result) == [
+        (1, "Ottumwa", "O'Brien"),
+        (2, "Dubuque", "Dubuque"),
+        (3, "McGregor", "Clayton"),
+    ]
+
+
+def test_top_per_group(spark):
+    data = [("a", "x", 1.0), ("a", "y", 2.0), ("b", "y", 3.0), ("b", "x", 3.0), (None, "z", None)]
+    df = spark.createDataFrame(data, "g string, c string, v double")
+    order = [F.desc_nulls_last("v"), F.asc("c")]
+    best = top_per_group(df, ["g"], order)
+    assert plan_text(best).count("WindowGroupLimit") == 2  # before and after the shuffle
+    assert sorted_rows(best) == [(None, "z", None), ("a", "y", 2.0), ("b", "x", 3.0)]
+    ranked = top_per_group(df, ["g"], order, 2, "rank")
+    totals = spark.createDataFrame([("a", 10), ("b", 20), ("c", 30)], "g string, n int")
+    joined = join_top(totals, ranked, "g", "rank")
+    assert sorted_rows(joined) == [("a", 10, "y", 2.0), ("b", 20, "x", 3.0)]
+
+
+def test_rounding_halves(spark):
+    data = [("a", 2.5), ("b", -2.5), ("c", 0.25), ("c", 0.25), ("d", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    found = dict(rows(rounded_totals(df, ["k"], {"t": "v"})))
+    assert found == {"a": 3.0, "b": -3.0, "c": 1.0, "d": None}
+    whole = rounded_totals(df, ["k"], {"t": F.col("v").cast("long")})
+    assert dict(whole.dtypes)["t"] == "double"
+
+
+def test_years_use_the_month_column(spark, tmp_path):
+    days = [datetime.datetime(y, m, 15) for y in (2011, 2012, 2013) for m in (1, 12)]
+    df = spark.createDataFrame([(d, d.date().replace(day=1)) for d in days], "at timestamp_ntz, sale_month date")
+    df.write.partitionBy("sale_month").parquet(str(tmp_path / "t"))
+    kept = within_years(spark.read.parquet(str(tmp_path / "t")), 2012, 2012, "at")
+    assert sorted(r["at"] for r in kept.collect()) == days[2:4]
+    assert "PartitionFilters: [isnotnull(sale_month" in plan_text(kept)
