@@ -7,14 +7,23 @@ customers of a nation that ordered in a year.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import year_of
+from ..sources import read_parquet
 
 YEARS = (1996, 1999)
 
 
+# Schemas by path. Without a schema every read starts a job that looks it up in the files.
+_schemas: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = read_parquet(spark, path).schema
+    return read_parquet(spark, path, _schemas[path])
 
 
 def _text(*parts: Column | str) -> Column:
