@@ -4,8 +4,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-from .. import presets, schemas
-from ..sinks import publish_view, write_by_month, write_parquet
+from .. import presets
+from ..sinks import publish_view, stored, write_by_month, write_parquet
 from ..sources import read_parquet
 from .cleanse import Rules, cleanse_sales
 from .landing import land_sales, prepare_population
@@ -47,18 +47,14 @@ def full_refresh(
     folder = f"{root.rstrip('/')}/refresh-{uuid.uuid4().hex}"
     paths = {name: f"{folder}/{name}" for name in TABLES}
 
-    write_parquet(land_sales(spark, sales_csv), paths["landed_sales"])
-    write_parquet(prepare_population(spark, population_csv), paths["dim_county_population"])
+    landed = stored(land_sales(spark, sales_csv), paths["landed_sales"])
+    population = stored(prepare_population(spark, population_csv), paths["dim_county_population"])
 
-    landed = read_parquet(spark, paths["landed_sales"], schemas.SALES)
     cleansed = cleanse_sales(landed, county_rules, city_rules, pair_rules, excluded_county)
     write_by_month(cleansed, paths["fact_sales"])
-
     fact = read_parquet(spark, paths["fact_sales"])
-    write_parquet(summarise(measures(fact)), paths["sales_summary"])
+    summary = stored(summarise(measures(fact)), paths["sales_summary"])
 
-    summary = read_parquet(spark, paths["sales_summary"])
-    population = read_parquet(spark, paths["dim_county_population"], schemas.POPULATION)
     write_parquet(region_mart(summary, population, begin, end), paths["dm_total_county_sale"])
     write_parquet(year_mart(summary, begin, end), paths["dm_total_year_sale"])
     write_parquet(category_mart(summary, begin, end), paths["dm_total_category_sale"])

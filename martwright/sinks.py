@@ -7,12 +7,20 @@ from pyspark.sql import functions as F
 
 from .functions import month_of
 from .presets import CLUSTER_COLUMNS, MONTH_COLUMN
+from .sources import read_parquet
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame and return the written files as a frame. This cuts the lineage: later
+    steps and retries read the files instead of computing the frame again."""
+    write_parquet(df, path)
+    return read_parquet(df.sparkSession, path, df.schema)
+
+
 def write_by_month(
     df: DataFrame,
     path: str,

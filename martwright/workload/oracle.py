@@ -227,10 +227,10 @@ SELECT source, id, {title("raw")} AS name FROM (
 SELECT conv_id, turn, {title("role")} AS role, {title("text")} AS text FROM conversations""",
     "cleansed_sales": f"""{_with(FULL_SALES, CLEANSED)}
 SELECT * REPLACE (strftime(sale_date, '%Y-%m-%d') AS sale_date) FROM cleansed""",
-    "prepared_population": f"""{_with(PEOPLE, RAW_PEOPLE)}
+    "prepare_population": f"""{_with(PEOPLE, RAW_PEOPLE)}
 SELECT fips, county, year, population, lon, lat FROM raw_people
 UNION ALL SELECT 106, county, year, population, lon, lat FROM raw_people WHERE fips = 6""",
-    "landed_sales": f"""{_with(FULL_SALES)}
+    "csv_landing_roundtrip": f"""{_with(FULL_SALES)}
 SELECT * REPLACE (strftime(sale_date, '%Y-%m-%d') AS sale_date) FROM full_sales""",
     "typed_columns": """
 SELECT o_orderkey AS key, CASE WHEN o_orderpriority <> '2-HIGH' THEN o_custkey END AS number,
@@ -242,16 +242,16 @@ FROM orders""",
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS at,
        CAST(year(o_orderdate) AS INTEGER) AS year, strftime(o_orderdate, '%Y-%m-01') AS month
 FROM orders""",
-    "parsed_points": """
+    "parse_point": """
 SELECT c_custkey, CASE WHEN c_nationkey NOT IN (3, 4) THEN c_acctbal END AS lon,
        CASE WHEN c_nationkey NOT IN (3, 4) THEN CAST(c_nationkey AS DOUBLE) END AS lat
 FROM customer""",
-    "sales_by_month": f"""{_with(SALES)}
+    "partitioned_table_roundtrip": f"""{_with(SALES)}
 SELECT strftime(sale_date, '%Y-%m-01') AS sale_month, county,
        round(sum(liters), 2) AS total_sold_liters, round(sum(dollars), 2) AS total_sale_dollars
 FROM sales WHERE year(sale_date) BETWEEN 1996 AND 1999 GROUP BY ALL""",
     "loaded_dimension": f"{_with(PEOPLE)} SELECT fips, county, year, population FROM people",
-    "all_marts_after_refresh": f"""{_with(
+    "full_refresh": f"""{_with(
         PEOPLE, FULL_SALES, CLEANSED, RAW_PEOPLE,
         '''
 sales AS (

@@ -40,7 +40,7 @@ from ..plans import (
     top_categories,
     year_mart,
 )
-from ..sinks import save_table, write_by_month, write_parquet
+from ..sinks import save_table, stored, write_by_month, write_parquet
 from ..sources import read_parquet, read_table
 from ..storage import scratch_path
 from . import star
@@ -116,9 +116,8 @@ def mart_region_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def region_totals_with_top_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Both sides of the join read a written summary, so the sales are read once.
-    path = scratch_path(spark, "sales-summary")
-    write_parquet(summarise(measures(star.sales(spark, sf_dir))), path)
-    summary = read_parquet(spark, path)
+    rows = summarise(measures(star.sales(spark, sf_dir)))
+    summary = stored(rows, scratch_path(spark, "sales-summary"))
     ranked = top_categories(summary, rank_column="row_order").drop("sold_liters")
     return join_top(region_totals(summary, BEGIN, END), ranked, "county", "row_order")
 
@@ -227,10 +226,9 @@ def prepared_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    csv, landed = scratch_path(spark, "sales-csv"), scratch_path(spark, "landed-sales")
+    csv = scratch_path(spark, "sales-csv")
     star.write_csv(star.sales_text(spark, sf_dir), csv)
-    write_parquet(land_sales(spark, csv), landed)
-    return _show_day(read_parquet(spark, landed, schemas.SALES))
+    return _show_day(stored(land_sales(spark, csv), scratch_path(spark, "landed-sales")))
 
 
 def typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,12 +353,12 @@ QUERIES = {
     "title_case_documents": title_case_documents,
     "title_case_conversations": title_case_conversations,
     "cleansed_sales": cleansed_sales,
-    "prepared_population": prepared_population,
-    "landed_sales": landed_sales,
+    "prepare_population": prepared_population,
+    "csv_landing_roundtrip": landed_sales,
     "typed_columns": typed_columns,
     "parsed_dates": parsed_dates,
-    "parsed_points": parsed_points,
-    "sales_by_month": sales_by_month,
+    "parse_point": parsed_points,
+    "partitioned_table_roundtrip": sales_by_month,
     "loaded_dimension": loaded_dimension,
-    "all_marts_after_refresh": all_marts_after_refresh,
+    "full_refresh": all_marts_after_refresh,
 }

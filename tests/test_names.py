@@ -1,5 +1,5 @@
 import random
-import string
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,15 +10,16 @@ from .conftest import plan_text
 
 
 def model(value):
-    """The rules in plain Python, total on short values."""
-    if not value:
-        return value
-    value = string.capwords(value)
-    if "-" in value:
-        value = string.capwords(value, sep="-")
-    if len(value) > 2 and (value[1] == "'" or value[:2] == "Mc"):
-        value = value[:2] + value[2].upper() + value[3:]
-    return value
+    """The rules over lists of words and hyphen pieces."""
+    text = " ".join(word.capitalize() for word in (value or "").split())
+    pieces = text.split("-")
+    if len(pieces) > 1:
+        text = "-".join(piece.capitalize() for piece in pieces)
+    prefixed = re.fullmatch("(.'|Mc)(.)(.*)", text, re.DOTALL)
+    if prefixed:
+        start, third, rest = prefixed.groups()
+        text = f"{start}{third.upper()}{rest}"
+    return None if value is None else text
 
 
 EDGES = {

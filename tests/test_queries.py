@@ -15,12 +15,12 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 WRITES_FILES = {
-    "all_marts_after_refresh",
-    "landed_sales",
+    "full_refresh",
+    "csv_landing_roundtrip",
     "loaded_dimension",
-    "prepared_population",
+    "prepare_population",
     "region_totals_with_top_category",
-    "sales_by_month",
+    "partitioned_table_roundtrip",
 }
 
 
