@@ -100,9 +100,11 @@ def test_only_text_columns(spark, tmp_path):
     assert tuple(df.first()) == ("1", "", "3", "4", "NULL")
 
 
-def test_landing_stays_in_the_jvm(spark, tmp_path):
-    df = land_sales(spark, write(tmp_path, HEADER, ",".join(GOOD)))
-    assert "Python" not in plan_text(df)
+def test_landing_converts_once_in_the_jvm(spark, conf, tmp_path):
+    conf("spark.sql.debug.maxToStringFields", "1000")
+    plan = plan_text(land_sales(spark, write(tmp_path, HEADER, ",".join(GOOD))))
+    assert "Python" not in plan
+    assert plan.count("cast(store_number") == 1
 
 
 POPULATION = [
