@@ -1,7 +1,8 @@
 """Value repair by rules.
 
 Rules come as a dictionary or, when they are data themselves, as a rule table. Matching is
-exact and case-sensitive; rows without a matching rule, and NULLs, stay as they are.
+exact and case-sensitive; rows without a matching rule, and NULLs, stay as they are. A rule
+table is read twice, once to check it and once to join it: pass a stored table, not a long query.
 """
 
 from collections.abc import Iterable, Mapping, Sequence
@@ -17,9 +18,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
 
-def replace_values(
-    df: DataFrame, column: str, rules: Mapping[str, str] | DataFrame
-) -> DataFrame:
+def replace_values(df: DataFrame, column: str, rules: Mapping[str, str] | DataFrame) -> DataFrame:
     """Replace whole values: ``{old: new}`` or a table with columns (old, new)."""
     if isinstance(rules, DataFrame):
         return _apply_table(df, [column], column, rules)
@@ -58,8 +57,8 @@ def _apply_rules(
 
 
 def _key(parts: Iterable[Column]) -> Column:
-    parts = list(parts)
-    return parts[0] if len(parts) == 1 else F.struct(*(p.alias(f"k{i}") for i, p in enumerate(parts)))
+    named = [part.alias(f"k{i}") for i, part in enumerate(parts)]
+    return F.struct(*named) if len(named) > 1 else named[0]
 
 
 def _apply_table(

@@ -236,7 +236,9 @@ def typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     priority = F.col("o_orderpriority")
     raw = star.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("key"),
-        F.when(priority == "2-HIGH", "#N/A").otherwise(F.col("o_custkey").cast("string")).alias("number"),
+        F.when(priority == "2-HIGH", "#N/A")
+        .otherwise(F.col("o_custkey").cast("string"))
+        .alias("number"),
         F.when(priority == "5-LOW", "NULL")
         .when(priority == "1-URGENT", F.concat(F.lit(" "), price, F.lit(" ")))
         .otherwise(price)
@@ -271,10 +273,9 @@ def parsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def parsed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     balance, nation = F.col("c_acctbal"), F.col("c_nationkey")
-    text = F.when(nation == 3, "").when(
-        nation != 4,
-        F.concat(F.lit("POINT ("), balance.cast("string"), F.lit(" "), nation.cast("string"), F.lit(")")),
-    )
+    lon_lat = F.concat_ws(" ", balance.cast("string"), nation.cast("string"))
+    spelled = F.concat(F.lit("POINT ("), lon_lat, F.lit(")"))
+    text = F.when(nation == 3, "").when(nation != 4, spelled)
     points = star.table(spark, sf_dir, "customer").select(
         "c_custkey", parse_point(text).alias("point")
     )
