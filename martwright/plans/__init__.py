@@ -3,6 +3,7 @@ from .landing import land_sales, prepare_population
 from .marts import (
     SalesRoles,
     category_mart,
+    category_totals,
     measures,
     region_mart,
     region_totals,
@@ -16,6 +17,7 @@ __all__ = [
     "SalesRoles",
     "TABLES",
     "category_mart",
+    "category_totals",
     "cleanse_sales",
     "full_refresh",
     "land_sales",

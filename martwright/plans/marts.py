@@ -72,9 +72,12 @@ def year_mart(rows: DataFrame, begin: int = BEGIN_YEAR, end: int = END_YEAR) ->
 
 def category_mart(rows: DataFrame, begin: int = BEGIN_YEAR, end: int = END_YEAR) -> DataFrame:
     """Liters per category. Missing and empty category names are groups of their own."""
-    return rounded_totals(
-        rows.filter(_in_years(begin, end)), [CATEGORY], {"total_sold_liters": LITERS}
-    )
+    return category_totals(rows.filter(_in_years(begin, end)))
+
+
+def category_totals(rows: DataFrame) -> DataFrame:
+    """The category mart of rows that are limited to its years already."""
+    return rounded_totals(rows, [CATEGORY], {"total_sold_liters": LITERS})
 
 
 def region_totals(rows: DataFrame, begin: int = BEGIN_YEAR, end: int = END_YEAR) -> DataFrame:

@@ -28,7 +28,7 @@ from ..operators import (
     within_years,
 )
 from ..plans import (
-    category_mart,
+    category_totals,
     cleanse_sales,
     full_refresh,
     land_sales,
@@ -75,7 +75,7 @@ def mart_category_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_partkey", F.col("p_type").alias("category_name")
     )
     rows = per_part.join(parts, F.col("l_partkey") == F.col("p_partkey"))
-    return rounded_totals(rows, ["category_name"], {"total_sold_liters": "sold_liters"})
+    return category_totals(rows)
 
 
 def population_by_region_query(spark: SparkSession, sf_dir: str) -> DataFrame:
