@@ -4,12 +4,17 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import ship
 from .exact_dedup import exact_duplicates
 from .lengths import length_histogram, suffix_sums
+from .line_templates import drop_recurring_lines
+from .minhash import near_duplicates
 from .mixing import mix
 from .packing import pack
+from .quality import classify
+from .url_filter import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,21 +34,47 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
+
+
 @_query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @_query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_sums(length_histogram(_table(spark, sf_dir, "documents")))
 
 
+@_query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return drop_recurring_lines(documents, dropped_column="dropped").select(
+        "doc_id",
+        "dropped",
+        F.length("text").alias("points_left"),
+        F.md5("text").alias("text_md5"),
+    )
+
+
 @_query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select(
