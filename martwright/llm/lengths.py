@@ -13,10 +13,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import keep
 from .tokens import batches, default_path
 
 # Lengths per block of the suffix sums.
-BLOCK = 1024
+BLOCK = 256
 
 
 def length_histogram(
@@ -36,7 +37,8 @@ def length_histogram(
     counted = docs.select(F.col(text_column).alias("text")).mapInArrow(
         count, "length long, documents long"
     )
-    return counted.groupBy("length").agg(F.sum("documents").alias("documents"))
+    # Stored, because the suffix sums read it more than once and the texts should be encoded once.
+    return keep(counted.groupBy("length").agg(F.sum("documents").alias("documents")), "lengths")
 
 
 def suffix_sums(histogram: DataFrame) -> DataFrame:
@@ -45,7 +47,7 @@ def suffix_sums(histogram: DataFrame) -> DataFrame:
     ``documents`` and ``tokens`` of exactly this length; ``documents_at_least`` and
     ``tokens_at_least``; ``documents_at_most``; ``truncated_tokens``, the corpus cut at this limit;
     ``quantile``, the share of documents that fit. Sums run inside blocks of lengths, and over one
-    row per block; the number of blocks is the longest length over 1024, whatever the corpus.
+    row per block; the number of blocks is the longest length over 256, whatever the corpus.
     """
     rows = histogram.select(
         "length",

@@ -12,8 +12,10 @@ from .lengths import length_histogram, suffix_sums
 from .line_templates import drop_recurring_lines
 from .minhash import near_duplicates
 from .mixing import mix
+from .neighbours import nearest
 from .packing import pack
 from .quality import classify
+from .quotes import link_conversations
 from .url_filter import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +51,16 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, percent=85)
 
 
+@_query
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@_query
+def op5_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_conversations(_table(spark, sf_dir, "conversations"))
+
+
 @_query
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
