@@ -20,6 +20,7 @@ def main() -> None:
     parser.add_argument("--begin", type=int, default=presets.BEGIN_YEAR)
     parser.add_argument("--end", type=int, default=presets.END_YEAR)
     parser.add_argument("--database", help="also publish the tables under this database")
+    parser.add_argument("--keep", type=int, help="refreshes that stay below the root; default all")
     options = parser.parse_args()
 
     spark = SparkSession.builder.appName("sales-refresh").getOrCreate()
@@ -31,6 +32,7 @@ def main() -> None:
         options.begin,
         options.end,
         database=options.database,
+        keep_refreshes=options.keep,
     )
     for name, path in paths.items():
         print(f"{name}\t{path}")

@@ -1,4 +1,4 @@
-from .casts import null_if_token, parse_timestamp, strict_cast, text_or_empty, timestamp_or_null
+from .casts import null_if_token, strict_cast, text_or_empty, timestamp_or_null
 from .names import title_case, title_case_columns
 from .points import parse_point
 from .text import count_or_zero, remove_literal, trailing_year
@@ -10,7 +10,6 @@ __all__ = [
     "month_of",
     "null_if_token",
     "parse_point",
-    "parse_timestamp",
     "remove_literal",
     "strict_cast",
     "text_or_empty",

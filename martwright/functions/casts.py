@@ -49,8 +49,3 @@ def timestamp_or_null(value: Column, patterns: Sequence[str]) -> Column:
         matches = F.try_to_timestamp(text, F.lit(pattern)).isNotNull()
         converted = F.when(matches, F.to_timestamp_ntz(text, F.lit(pattern))).otherwise(converted)
     return converted
-
-
-def parse_timestamp(value: Column, patterns: Sequence[str], label: str = "value") -> Column:
-    """As above, but no match raises in every mode."""
-    return _or_fail(value, timestamp_or_null(value, patterns), "timestamp", label)

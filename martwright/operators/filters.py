@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import literal_like
-from ..presets import EXCLUDED_COUNTY, MONTH_COLUMN
+from ..presets import EXCLUDED_COUNTY
 
 
 def keep_valid_locations(
@@ -23,15 +23,16 @@ def keep_valid_locations(
 
 
 def within_years(
-    df: DataFrame, begin: int, end: int, time_column: str, month_column: str = MONTH_COLUMN
+    df: DataFrame, begin: int, end: int, time_column: str, month_column: str | None = None
 ) -> DataFrame:
     """Rows of the years ``begin`` to ``end``, both inclusive.
 
     A half-open range on the stored column instead of ``year(column)``, which could not be
-    pushed down. If the frame has the month partition column the range goes there: years
-    begin and end with a month, so the result is the same and whole folders are skipped.
+    pushed down. For a table partitioned by month name its ``month_column`` too and the range
+    goes there: years begin and end with a month, so the result is the same and whole folders
+    are skipped.
     """
-    column = month_column if month_column in df.columns else time_column
+    column = month_column or time_column
     kind = df.schema[column].dataType
     first = literal_like(f"{begin:04d}-01-01", kind)
     after = literal_like(f"{end + 1:04d}-01-01", kind)

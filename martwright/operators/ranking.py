@@ -1,5 +1,6 @@
 """First rows per group."""
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,10 +13,12 @@ def top_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of each group by ``row_number``; the rank is kept on request.
 
-    Spark turns the rank filter into a group limit that runs before the shuffle, so a group
-    sends at most ``n`` rows per task. Give an order without ties for a repeatable result.
+    For ``n`` up to the engine's limit (``spark.sql.optimizer.windowGroupLimitThreshold``, 1000)
+    the rank filter becomes a group limit that runs before the shuffle, so a group sends at most
+    ``n`` rows per task; beyond it a group goes whole to one task. Give an order without ties for a
+    repeatable result.
     """
-    rank = rank_column or "__rank"
+    rank = rank_column or f"rank_{uuid.uuid4().hex}"
     window = Window.partitionBy(*group).orderBy(*order)
     ranked = df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)
     return ranked if rank_column else ranked.drop(rank)

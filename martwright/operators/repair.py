@@ -1,19 +1,24 @@
 """Value repair by rules.
 
-Rules come as a dictionary or, when they are data themselves, as a rule table. Matching is
-exact and case-sensitive; rows without a matching rule, and NULLs, stay as they are. A rule
-table is read twice, once to check it and once to join it: pass a stored table, not a long query.
+Rules come as a dictionary or, when they are data themselves, as a rule table. Either way they are
+joined, so neither types nor errors depend on their number: key, target and rule columns are texts,
+each key has one rule, and every rule has a new value. Matching is exact and case-sensitive; rows
+without a matching rule, and NULLs, stay as they are. A rule table is computed once and written to
+the shared folder, so that what was checked is what is joined.
 """
 
-from collections.abc import Iterable, Mapping, Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A dictionary up to this size becomes a constant map in the plan, a larger one a rule table.
-MAP_LIMIT = 64
-# A rule table is broadcast only if its texts are known to stay below both limits.
+from ..sinks import stored
+from ..storage import scratch_path
+
+# Rules are broadcast only if their texts are known to stay below both limits.
 BROADCAST_BYTES = 32 * 1024 * 1024
 BROADCAST_ROWS = 1_000_000
 
@@ -41,36 +46,46 @@ def override_pairs(
 def _apply_rules(
     df: DataFrame, keys: Sequence[str], target: str, rules: Sequence[tuple[tuple[str, ...], str]]
 ) -> DataFrame:
-    """Look the keys up in a constant map. Compared with a CASE of the same rules the
-    generated code does not grow with their number."""
+    """A dictionary is a rule table whose keys are unique and whose size is known already."""
+    _check_texts(df, {*keys, target})
     if not rules:
         return df
-    if any(text is None for key, new in rules for text in (*key, new)):
+    texts = [(*key, new) for key, new in rules]
+    if any(not isinstance(text, str) for row in texts for text in row):
         raise ValueError("a rule needs a text for every key and a new value")
-    if len(rules) > MAP_LIMIT:
-        names = ", ".join(f"c{i} string" for i in range(len(keys) + 1))
-        rows = [(*key, new) for key, new in rules]
-        return _apply_table(df, keys, target, df.sparkSession.createDataFrame(rows, names))
-    entries = [part for key, new in rules for part in (_key(map(F.lit, key)), F.lit(new))]
-    found = F.try_element_at(F.create_map(*entries), _key(map(F.col, keys)))
-    return df.withColumn(target, F.coalesce(found, F.col(target)))
+    names = ", ".join(f"c{i} string" for i in range(len(keys) + 1))
+    table = df.sparkSession.createDataFrame(texts, names)
+    size = sum(len(text.encode()) for row in texts for text in row)
+    return _join_rules(df, keys, target, table, _may_broadcast(len(texts), size))
+
+
+def _apply_table(df: DataFrame, keys: Sequence[str], target: str, rules: DataFrame) -> DataFrame:
+    """Columns of ``rules`` count by position: the keys in order, then the new value."""
+    if len(rules.columns) != len(keys) + 1:
+        raise ValueError(f"a rule table for {list(keys)} needs {len(keys) + 1} columns")
+    _check_texts(df, {*keys, target})
+    _check_texts(rules, set(rules.columns))
+    kept = stored(
+        rules.toDF(*(f"c{i}" for i in range(len(keys) + 1))),
+        scratch_path(df.sparkSession, "rules"),
+    )
+    return _join_rules(df, keys, target, kept, _is_small(kept))
 
 
-def _key(parts: Iterable[Column]) -> Column:
-    named = [part.alias(f"k{i}") for i, part in enumerate(parts)]
-    return F.struct(*named) if len(named) > 1 else named[0]
+def _check_texts(df: DataFrame, columns: set[str]) -> None:
+    others = sorted(c for c in columns if not isinstance(df.schema[c].dataType, T.StringType))
+    if others:
+        raise ValueError(f"rules repair text columns; not text: {', '.join(others)}")
 
 
-def _apply_table(
-    df: DataFrame, keys: Sequence[str], target: str, rules: DataFrame
+def _join_rules(
+    df: DataFrame, keys: Sequence[str], target: str, rules: DataFrame, broadcast: bool
 ) -> DataFrame:
-    """Left join with the rule table. Columns of ``rules`` count by position: the keys in
-    order, then the new value."""
-    if len(rules.columns) != len(keys) + 1:
-        raise ValueError(f"a rule table for {list(keys)} needs {len(keys) + 1} columns")
-    rule_keys = [f"__rule_key_{i}" for i in range(len(keys))]
-    rules = rules.toDF(*rule_keys, "__rule_value")
-    if _is_small(rules, rule_keys):
+    """Left join with checked rules, under names that no caller has."""
+    mark = uuid.uuid4().hex
+    *rule_keys, value = names = [f"rule_{mark}_{i}" for i in range(len(keys) + 1)]
+    rules = rules.toDF(*names)
+    if broadcast:
         rules = F.broadcast(rules)
     # Without the hint both sides are shuffled on the keys and adaptive execution splits
     # the partitions of frequent keys.
@@ -80,14 +95,19 @@ def _apply_table(
     )
     return (
         df.join(rules, matches, "left")
-        .withColumn(target, F.coalesce(F.col("__rule_value"), F.col(target)))
-        .drop(*rule_keys, "__rule_value")
+        .withColumn(target, F.coalesce(F.col(value), F.col(target)))
+        .drop(*names)
     )
 
 
-def _is_small(rules: DataFrame, keys: Sequence[str]) -> bool:
-    """Check the rules once, in one distributed pass that returns a single row: each key
-    has one rule, no rule is without a new value. Tells whether they may be broadcast."""
+def _may_broadcast(rows: int, text_bytes: int) -> bool:
+    return rows <= BROADCAST_ROWS and text_bytes <= BROADCAST_BYTES
+
+
+def _is_small(rules: DataFrame) -> bool:
+    """Check stored rules in one distributed pass that returns a single row: each key has one
+    rule, no rule is without a new value. Tells whether they may be broadcast."""
+    *keys, value = rules.columns
     text_bytes = reduce(
         lambda left, right: left + right,
         (F.coalesce(F.octet_length(F.col(name)), F.lit(0)) for name in rules.columns),
@@ -95,7 +115,7 @@ def _is_small(rules: DataFrame, keys: Sequence[str]) -> bool:
     per_key = rules.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum(text_bytes.cast("long")).alias("bytes"),
-        F.bool_or(F.col("__rule_value").isNull()).alias("no_value"),
+        F.bool_or(F.col(value).isNull()).alias("no_value"),
     )
     found = per_key.agg(
         F.sum("rows").alias("rows"),
@@ -108,4 +128,4 @@ def _is_small(rules: DataFrame, keys: Sequence[str]) -> bool:
         raise ValueError(f"more than one rule for the same key, for example ({found['example']})")
     if found["no_value"]:
         raise ValueError("a rule has no new value")
-    return (found["rows"] or 0) <= BROADCAST_ROWS and (found["bytes"] or 0) <= BROADCAST_BYTES
+    return _may_broadcast(found["rows"] or 0, found["bytes"] or 0)

@@ -36,13 +36,18 @@ def clean_population(raw: DataFrame, county_suffix: str = " County") -> DataFram
 def prepare_population(
     spark: SparkSession, path: str | list[str], with_point: bool = False
 ) -> DataFrame:
-    """The population file, cleaned by header name and typed by position.
+    """The population files, cleaned and typed by header name: ``Primary Point`` is
+    ``primary_point``, in any order of the columns. A file without one of the names is rejected.
 
     ``with_point`` replaces the point text by a ``struct<lon, lat>``.
     """
     cleaned = clean_population(read_text_csv(spark, path))
+    found = {name.strip().lower().replace(" ", "_"): name for name in cleaned.columns}
+    missing = [name for name in schemas.POPULATION.names if name not in found]
+    if missing:
+        raise ValueError(f"the population file has no column {', '.join(missing)}")
     population = typed(
-        cleaned.toDF(*schemas.POPULATION.names),
+        cleaned.select(*(F.col(f"`{found[n]}`").alias(n) for n in schemas.POPULATION.names)),
         schemas.POPULATION,
         presets.POPULATION_DATE_PATTERNS,
     )

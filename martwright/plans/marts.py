@@ -8,7 +8,7 @@ form; rounding is always the last step.
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import year_of
@@ -63,6 +63,11 @@ def _in_years(begin: int, end: int):
     return F.col(YEAR).between(begin, end)
 
 
+def _known(amount: str) -> Column:
+    """An amount to rank by: one that is not a number ranks with the missing ones, last."""
+    return F.nullif(F.col(amount), F.lit(float("nan")))
+
+
 def year_mart(rows: DataFrame, begin: int = BEGIN_YEAR, end: int = END_YEAR) -> DataFrame:
     """Liters per year."""
     return rounded_totals(
@@ -92,7 +97,7 @@ def region_totals(rows: DataFrame, begin: int = BEGIN_YEAR, end: int = END_YEAR)
 def top_categories(rows: DataFrame, n: int = 1, rank_column: str | None = None) -> DataFrame:
     """The first ``n`` categories of every county over *all* years, by unrounded liters, most
     first, then by category name so that ties have one answer."""
-    order = [F.desc_nulls_last(LITERS), F.asc_nulls_first(CATEGORY)]
+    order = [F.desc_nulls_last(_known(LITERS)), F.asc_nulls_first(CATEGORY)]
     sold = rows.groupBy(REGION, CATEGORY).agg(F.sum(LITERS).alias(LITERS))
     return top_per_group(sold, [REGION], order, n, rank_column)
 
@@ -123,7 +128,8 @@ def region_mart(
         F.sum(F.when(in_years, F.col(DOLLARS))).alias("dollars"),
         F.bool_or(in_years).alias("sold_in_years"),
     )
-    most_first = F.struct(F.col("all_liters").isNull(), -F.col("all_liters"), F.col(CATEGORY))
+    sold = _known("all_liters")
+    most_first = F.struct(sold.isNull(), -sold, F.col(CATEGORY))
     by_region = (
         by_category.groupBy(REGION)
         .agg(

@@ -5,8 +5,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 from .. import presets
-from ..sinks import publish_view, stored, write_by_month, write_parquet
+from ..sinks import ROWS_PER_FILE, publish_view, stored, write_by_month, write_parquet
 from ..sources import read_parquet
+from ..storage import discard, folders
 from .cleanse import Rules, cleanse_sales
 from .landing import land_sales, prepare_population
 from .marts import category_mart, measures, region_mart, summarise, year_mart
@@ -34,16 +35,27 @@ def full_refresh(
     pair_rules: Rules = presets.CITY_COUNTY_RULES,
     excluded_county: str = presets.EXCLUDED_COUNTY,
     database: str | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+    keep_refreshes: int | None = None,
 ) -> dict[str, str]:
     """Land, cleanse and load the two files, then build the marts.
 
     Each refresh writes to its own folder under ``root``: tables of the last run stay
     readable while this one works, and nothing is read and replaced at the same time. With
-    ``database`` the catalog names are switched to the new files at the end. Returns the path
-    of every table.
+    ``database``, which must exist, the catalog names are switched to the new files at the end, the
+    marts last: a switch that fails leaves every name on a complete table, some of them on the last
+    run's, and can be repeated. Returns the path of every table.
+
+    ``keep_refreshes`` is the number of refreshes, this one included, whose folders stay; older ones
+    under ``root`` are deleted after the switch. The default keeps all: a reader of an old path, or a
+    view in another database, may still need them.
 
     The marts share one written summary, so the sales table is scanned once for all three.
     """
+    if keep_refreshes is not None and keep_refreshes < 1:
+        raise ValueError("keep at least this refresh")
+    if database is not None and not spark.catalog.databaseExists(database):
+        raise ValueError(f"there is no database {database}")
     folder = f"{root.rstrip('/')}/refresh-{uuid.uuid4().hex}"
     paths = {name: f"{folder}/{name}" for name in TABLES}
 
@@ -51,7 +63,7 @@ def full_refresh(
     population = stored(prepare_population(spark, population_csv), paths["dim_county_population"])
 
     cleansed = cleanse_sales(landed, county_rules, city_rules, pair_rules, excluded_county)
-    write_by_month(cleansed, paths["fact_sales"])
+    write_by_month(cleansed, paths["fact_sales"], rows_per_file=rows_per_file)
     fact = read_parquet(spark, paths["fact_sales"])
     summary = stored(summarise(measures(fact)), paths["sales_summary"])
 
@@ -62,4 +74,10 @@ def full_refresh(
     if database is not None:
         for name, path in paths.items():
             publish_view(spark, f"{database}.{name}", path)
+    if keep_refreshes is not None:
+        earlier = [name for name in folders(spark, root) if name.startswith("refresh-")]
+        kept = {folder.rpartition("/")[2], *earlier[:keep_refreshes]}
+        for name in earlier:
+            if name not in kept:
+                discard(spark, f"{root.rstrip('/')}/{name}")
     return paths

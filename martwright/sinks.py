@@ -1,5 +1,6 @@
 """Writers. Each replaces its target as a whole."""
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,9 @@ from .functions import month_of
 from .presets import CLUSTER_COLUMNS, MONTH_COLUMN
 from .sources import read_parquet
 
+# Sales rows of about 100 bytes, compressed: files of 100 MB.
+ROWS_PER_FILE = 1_000_000
+
 
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
@@ -27,21 +31,25 @@ def write_by_month(
     time_column: str = "sale_date",
     cluster_columns: Sequence[str] = CLUSTER_COLUMNS,
     month_column: str = MONTH_COLUMN,
+    last_keys: Sequence[str] = ("invoice_item_number",),
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
-    """Parquet partitioned by month and sorted by ``cluster_columns`` inside each file.
-
-    The rebalance shuffle brings a month together so that it becomes few files, while
-    adaptive execution cuts a month larger than the advisory partition size into several
-    tasks: a month with a third of all rows is neither one task nor one file. Give the
-    session many more shuffle partitions than there are months; months that share one are
-    cut together and get more, smaller files. The sort leads with the month because the
-    partitioned writer needs that order; otherwise it would sort again and lose the
-    clustering.
+    """Parquet partitioned by month and clustered by ``cluster_columns`` across a month's files.
+
+    Rows are range-partitioned by month, cluster columns and ``last_keys``, into as many ranges as
+    ``rows_per_file`` asks for, and sorted alike inside each file. So a value of the first cluster
+    column lies in a few neighbouring files of its month, and the others' statistics skip them. A
+    month smaller than a file is one file, or two at the border of a range; a larger one is several.
+    ``last_keys`` should be nearly unique: they let a range end inside a frequent county and
+    category, so that no value is too large for one task. The rows are counted and sampled first,
+    which computes their keys twice more: pass a stored table, or few computed key columns.
     """
     layout = df.withColumn(month_column, month_of(F.col(time_column)))
+    order = [month_column, *cluster_columns, *last_keys]
+    ranges = max(1, math.ceil(df.count() / rows_per_file))
     (
-        layout.hint("rebalance", F.col(month_column))
-        .sortWithinPartitions(month_column, *cluster_columns)
+        layout.repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .partitionBy(month_column)
         .parquet(path)

@@ -3,7 +3,7 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,8 +17,8 @@ def read_text_csv(
 ) -> DataFrame:
     """All fields of a CSV as text, nothing converted yet.
 
-    With ``schema`` its names replace the header by position; without, the header names
-    are used. A quote inside a quoted field is doubled. Records do not span lines, so
+    With ``schema`` its names replace the header by position; without, every file's own
+    header names are used, and files with other names than the first are rejected. A quote inside a quoted field is doubled. Records do not span lines, so
     large files split across tasks. Ragged rows raise: column pruning is off because the
     parser could not count the fields of a row it only reads in part.
     """
@@ -29,8 +29,31 @@ def read_text_csv(
         .option("columnPruning", False)
     )
     if schema is not None:
-        reader = reader.schema(schemas.as_text(schema))
-    return reader.csv(path)
+        return reader.schema(schemas.as_text(schema)).csv(path)
+    return _by_header(spark, reader, path)
+
+
+def _by_header(spark: SparkSession, reader: DataFrameReader, path: str | list[str]) -> DataFrame:
+    """Files by the names in their own headers, in the order of the first file. Files with the same
+    header are one scan; reading a header is one small job per file."""
+    listed = spark.read.format("binaryFile").load(path).select("path").orderBy("path")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for row in listed.toLocalIterator():
+        names = tuple(reader.csv(row["path"]).columns)
+        if names:
+            by_header.setdefault(names, []).append(row["path"])
+    if not by_header:
+        return reader.csv(path)
+    first = next(iter(by_header))
+    for names, files in by_header.items():
+        if sorted(names) != sorted(first):
+            raise ValueError(f"{files[0]} has the columns {list(names)}, not {list(first)}")
+    frames = [reader.schema(_text_fields(names)).csv(files) for names, files in by_header.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def _text_fields(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
 
 
 def typed(df: DataFrame, schema: T.StructType, timestamp_patterns: Sequence[str] = ()) -> DataFrame:

@@ -1,6 +1,5 @@
 """Where intermediate tables go."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,13 +9,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
 
     Every call returns a new path, so concurrent jobs and retries never overwrite each
-    other. Only a local session may fall back to a folder of this machine: on a cluster
-    the executors would not share it.
+    other. There is no fallback: a folder of one machine would work until the executors run
+    on others.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="martwright-")
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return f"{base.rstrip('/')}/martwright/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders below ``path``, the one changed last first."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    found = [entry for entry in system.listStatus(target) if entry.isDirectory()]
+    found.sort(key=lambda entry: (-entry.getModificationTime(), entry.getPath().getName()))
+    return [entry.getPath().getName() for entry in found]
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder with everything in it."""
+    system, target = _file_system(spark, path)
+    system.delete(target, True)

@@ -233,7 +233,9 @@ UNION ALL SELECT 106, county, year, population, lon, lat FROM raw_people WHERE f
     "csv_landing_roundtrip": f"""{_with(FULL_SALES)}
 SELECT * REPLACE (strftime(sale_date, '%Y-%m-%d') AS sale_date) FROM full_sales""",
     "typed_columns": """
-SELECT o_orderkey AS key, CASE WHEN o_orderpriority <> '2-HIGH' THEN o_custkey END AS number,
+SELECT o_orderkey AS key, 
+       CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '4-NOT SPECIFIED')
+            THEN o_custkey END AS number,
        CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS price,
        CASE o_orderpriority WHEN '3-MEDIUM' THEN 'NA' WHEN '5-LOW' THEN ''
                             ELSE o_orderpriority END AS note

@@ -9,11 +9,7 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..functions import (
     month_of,
-    null_if_token,
     parse_point,
-    parse_timestamp,
-    strict_cast,
-    text_or_empty,
     title_case_columns,
     year_of,
 )
@@ -41,7 +37,8 @@ from ..plans import (
     year_mart,
 )
 from ..sinks import save_table, stored, write_by_month, write_parquet
-from ..sources import read_parquet, read_table
+from ..presets import MONTH_COLUMN
+from ..sources import read_parquet, read_table, typed
 from ..storage import scratch_path
 from . import star
 
@@ -79,7 +76,7 @@ def mart_category_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def population_by_region_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return population_by_region(star.population(spark, sf_dir), BEGIN, END)
+    return population_by_region(star.population(spark, sf_dir, star.YEARS), BEGIN, END)
 
 
 def region_totals_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,7 +91,7 @@ def region_totals_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = rounded_totals(
         rows, ["county"], {"total_sold_liters": "liters", "total_sale_dollars": "dollars"}
     )
-    people = population_by_region(star.population(spark, sf_dir), BEGIN, END)
+    people = population_by_region(star.population(spark, sf_dir, star.YEARS), BEGIN, END)
     return add_population(totals, people, "county")
 
 
@@ -110,7 +107,7 @@ def top_category_per_region(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mart_region_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return region_mart(
-        measures(star.sales(spark, sf_dir)), star.population(spark, sf_dir), BEGIN, END
+        measures(star.sales(spark, sf_dir)), star.population(spark, sf_dir, star.YEARS), BEGIN, END
     )
 
 
@@ -237,6 +234,8 @@ def typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = star.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("key"),
         F.when(priority == "2-HIGH", "#N/A")
+        .when(priority == "4-NOT SPECIFIED", "n/a")
+        .when(priority == "1-URGENT", "1.#QNAN")
         .otherwise(F.col("o_custkey").cast("string"))
         .alias("number"),
         F.when(priority == "5-LOW", "NULL")
@@ -245,12 +244,15 @@ def typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("price"),
         F.when(priority == "3-MEDIUM", "NA").when(priority != "5-LOW", priority).alias("note"),
     )
-    return raw.select(
-        strict_cast(null_if_token(F.col("key")), T.LongType(), "key").alias("key"),
-        strict_cast(null_if_token(F.col("number")), T.LongType(), "number").alias("number"),
-        strict_cast(null_if_token(F.col("price")), T.DoubleType(), "price").alias("price"),
-        text_or_empty(F.col("note")).alias("note"),
+    schema = T.StructType(
+        [
+            T.StructField("key", T.LongType()),
+            T.StructField("number", T.LongType()),
+            T.StructField("price", T.DoubleType()),
+            T.StructField("note", T.StringType()),
+        ]
     )
+    return typed(raw, schema)
 
 
 def parsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,9 +262,13 @@ def parsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "O", F.date_format(day, "MM/dd/yyyy"))
         .otherwise(F.date_format(day, "MMMM d yyyy"))
     )
-    parsed = star.table(spark, sf_dir, "orders").select(
-        "o_orderkey", parse_timestamp(text, ["M/d/yyyy", "MMMM d yyyy"]).alias("at")
+    raw = star.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), text.alias("at")
+    )
+    schema = T.StructType(
+        [T.StructField("o_orderkey", T.LongType()), T.StructField("at", T.TimestampNTZType())]
     )
+    parsed = typed(raw, schema, ["M/d/yyyy", "MMMM d yyyy"])
     return parsed.select(
         "o_orderkey",
         F.date_format("at", "yyyy-MM-dd HH:mm:ss").alias("at"),
@@ -285,8 +291,14 @@ def parsed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sales-by-month")
     sales = star.sales(spark, sf_dir)
-    write_by_month(sales, path, cluster_columns=["county", "category_name"])
-    kept = within_years(read_parquet(spark, path), BEGIN, END, "sale_date")
+    write_by_month(
+        sales,
+        path,
+        cluster_columns=["county", "category_name"],
+        last_keys=["sale_date", "sale_dollars"],
+        rows_per_file=50_000,
+    )
+    kept = within_years(read_parquet(spark, path), BEGIN, END, "sale_date", MONTH_COLUMN)
     month = F.date_format("sale_month", "yyyy-MM-dd").alias("sale_month")
     return rounded_totals(
         kept,
@@ -317,7 +329,9 @@ def all_marts_after_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     population_csv = scratch_path(spark, "refresh-population-csv")
     star.write_csv(star.sales_text(spark, sf_dir), sales_csv)
     star.write_csv(star.population_text(spark, sf_dir), population_csv)
-    paths = full_refresh(
+    database = f"refreshed_{uuid.uuid4().hex}"
+    spark.sql("CREATE DATABASE IDENTIFIER(:name)", args={"name": database})
+    full_refresh(
         spark,
         sales_csv,
         population_csv,
@@ -328,11 +342,14 @@ def all_marts_after_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
         CITY_RULES,
         PAIR_RULES,
         EXCLUDED,
+        database=database,
     )
     marts = ["dm_total_county_sale", "dm_total_year_sale", "dm_total_category_sale"]
     county, year, category = (
-        read_parquet(spark, paths[name]).withColumn("mart", F.lit(name)) for name in marts
+        read_table(spark, f"{database}.{name}").withColumn("mart", F.lit(name)) for name in marts
     )
+    # The frames are resolved to the files; only the catalog entries go.
+    spark.sql("DROP DATABASE IDENTIFIER(:name) CASCADE", args={"name": database})
     return county.unionByName(year, allowMissingColumns=True).unionByName(
         category, allowMissingColumns=True
     )

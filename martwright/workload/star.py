@@ -7,23 +7,16 @@ customers of a nation that ordered in a year.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import year_of
+from ..operators import within_years
 from ..sources import read_parquet
 
 YEARS = (1996, 1999)
 
 
-# Schemas by path. Without a schema every read starts a job that looks it up in the files.
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = read_parquet(spark, path).schema
-    return read_parquet(spark, path, _schemas[path])
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _text(*parts: Column | str) -> Column:
@@ -67,14 +60,19 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def population(spark: SparkSession, sf_dir: str) -> DataFrame:
+def population(
+    spark: SparkSession, sf_dir: str, years: tuple[int, int] | None = None
+) -> DataFrame:
     """Customers per nation that ordered in a year: (fips, county, year, population).
 
-    A customer's orders of a year collapse before any join, however many there are.
+    A customer's orders of a year collapse before any join, however many there are. ``years``
+    limits the orders that are read; a filter on the computed year would not reach the scan.
     """
+    orders = table(spark, sf_dir, "orders")
+    if years is not None:
+        orders = within_years(orders, *years, "o_orderdate")
     active = (
-        table(spark, sf_dir, "orders")
-        .select("o_custkey", year_of(F.col("o_orderdate")).cast("long").alias("year"))
+        orders.select("o_custkey", year_of(F.col("o_orderdate")).cast("long").alias("year"))
         .distinct()
     )
     customers = customer_regions(spark, sf_dir).select("c_custkey", "fips", "county")

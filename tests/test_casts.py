@@ -9,14 +9,15 @@ from martwright.functions import (
     month_of,
     null_if_token,
     parse_point,
-    parse_timestamp,
     remove_literal,
     strict_cast,
     text_or_empty,
+    timestamp_or_null,
     trailing_year,
     year_of,
 )
 from martwright.presets import NULL_TOKENS
+from martwright.sources import typed
 
 ANSI = "spark.sql.ansi.enabled"
 
@@ -77,20 +78,30 @@ def test_bad_double(spark, ansi, text):
     )
 
 
+def at(spark, text, patterns):
+    schema = T.StructType([T.StructField("at", T.TimestampNTZType())])
+    return typed(spark.createDataFrame([(text,)], "at string"), schema, patterns).first().at
+
+
 @pytest.mark.parametrize("text", ["1/2/2012", "01/02/2012", " 01/2/2012", "January 2 2012"])
 def test_timestamp(spark, ansi, text):
-    parsed = one(spark, text, lambda c: parse_timestamp(c, ["M/d/yyyy", "MMMM d yyyy"]))
-    assert parsed == datetime.datetime(2012, 1, 2)
+    assert at(spark, text, ["M/d/yyyy", "MMMM d yyyy"]) == datetime.datetime(2012, 1, 2)
 
 
-@pytest.mark.parametrize("text", ["2012-01-02", "13/02/2012", "1/2/2012 00:00", "1/2/12", ""])
+@pytest.mark.parametrize("text", ["2012-01-02", "13/02/2012", "1/2/2012 00:00", "1/2/12"])
 def test_bad_timestamp(spark, ansi, text):
-    fails(spark, text, lambda c: parse_timestamp(c, ["M/d/yyyy"]))
+    with pytest.raises(Exception):
+        at(spark, text, ["M/d/yyyy"])
+
+
+@pytest.mark.parametrize("text", ["", "NA", "#N/A", "null", None])
+def test_missing_timestamp(spark, ansi, text):
+    assert at(spark, text, ["M/d/yyyy"]) is None
 
 
 def test_timestamp_needs_a_pattern():
     with pytest.raises(ValueError):
-        parse_timestamp(None, [])
+        timestamp_or_null(None, [])
 
 
 def test_calendar_ignores_the_session_zone(spark, conf):

@@ -14,7 +14,8 @@ def largest_method(spark, df):
     return max(int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code))
 
 
-def test_cleansing(spark, tmp_path):
+def test_cleansing(spark, conf, tmp_path):
+    conf("spark.sql.adaptive.enabled", "false")  # shows the code of the whole plan at once
     spark.createDataFrame([], schemas.SALES).write.parquet(str(tmp_path / "t"))
     assert largest_method(spark, cleanse_sales(spark.read.parquet(str(tmp_path / "t")))) < 8000
 

@@ -140,6 +140,20 @@ def test_population_needs_a_year(spark, tmp_path, year):
         df.collect()
 
 
+def test_population_files_with_another_order_of_columns(spark, tmp_path):
+    folder = tmp_path / "people"
+    folder.mkdir()
+    (folder / "a.csv").write_text("\n".join(POPULATION[:2]) + "\n")
+    (folder / "b.csv").write_text(
+        "Population,Year,Primary Point,FIPS,County\n20,July 01 2013,,2,Other County\n"
+    )
+    expected = [(2, "Other", 2013, 20, ""), (19001, "Adair", 2012, 7500, "POINT (-94.4 41.3)")]
+    assert sorted_rows(prepare_population(spark, str(folder))) == sorted(expected, key=str)
+    (folder / "c.csv").write_text("FIPS,County,Year,People,Primary Point\n3,C County,July 01 2013,5,\n")
+    with pytest.raises(ValueError, match="c.csv"):
+        prepare_population(spark, str(folder))
+
+
 def test_population_needs_its_headers(spark, tmp_path):
     with pytest.raises(Exception):
         prepare_population(spark, write(tmp_path, "a,b,c,d,e", "1,A,July 01 2012,5,"))

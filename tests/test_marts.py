@@ -187,3 +187,14 @@ def test_a_third_of_all_rows_in_one_group(spark, people):
     found = rows(region_mart(facts, people, 2012, 2012))
     assert found == [("Adair", 7.0, 1, 30000.0, 60000.0, round(30000 / 7, 2), "Gin")]
     assert dict(rows(year_mart(facts, 2012, 2012))) == {2012: 90000.0}
+
+
+def test_a_sum_that_is_no_number_is_never_on_top(spark):
+    day, nan = at("2012-05-05 00:00:00"), float("nan")
+    data = [("A", "x", day, nan, 1.0), ("A", "y", day, 2.0, 1.0), ("B", "x", day, nan, 1.0), ("B", "y", day, None, 1.0)]
+    schema = "county string, category_name string, sale_date timestamp_ntz, volume_sold_liters double, sale_dollars double"
+    facts = measures(spark.createDataFrame(data, schema))
+    people = spark.createDataFrame([(1, "A", 2012, 1), (2, "B", 2012, 1)], "fips int, county string, year int, population int")
+    best = {r.county: r.category_name for r in top_categories(facts).collect()}
+    mart = {r.county: r.category_name for r in region_mart(facts, people, 2012, 2012).collect()}
+    assert best == mart == {"A": "y", "B": "x"}

@@ -63,7 +63,7 @@ REPLACED = [(1, "New", "x"), (2, "old", "x"), (3, None, "x"), (4, "B", "x"), (5,
 def forms(spark, rules, width):
     """The same rules as a dictionary, a long dictionary and a table."""
     many = dict(rules)
-    for i in range(repair.MAP_LIMIT):
+    for i in range(100):
         key = f"unused {i}"
         many[key if width == 1 else (key, key)] = "never"
     flat = [((k,) if width == 1 else k) + (v,) for k, v in rules.items()]
@@ -71,6 +71,43 @@ def forms(spark, rules, width):
     return {"map": rules, "large": many, "table": table}
 
 
+def padded(rules, n):
+    return rules | {f"unused {i}": "never" for i in range(n - len(rules))}
+
+
+@pytest.mark.parametrize("n", [1, 64, 65, 5000])
+def test_the_number_of_rules_changes_nothing(spark, n):
+    rules = padded({"OLD": "New"}, n)
+    schema = "id int, city string, __rule_value string, __rule_key_0 string, c0 string"
+    df = spark.createDataFrame([(1, "OLD", "a", "b", "c"), (2, "old", "a", "b", "c")], schema)
+    result = replace_values(df, "city", rules)
+    assert result.schema.simpleString() == df.schema.simpleString()
+    assert sorted_rows(result) == [(1, "New", "a", "b", "c"), (2, "old", "a", "b", "c")]
+    for digits in (rules, {"1": "2"} | rules):
+        with pytest.raises(ValueError, match="not text: id"):
+            replace_values(df, "id", digits)
+    with pytest.raises(ValueError):
+        replace_values(df, "city", rules | {"A": None})
+    table = spark.createDataFrame(list(rules.items()), "a string, b string")
+    assert sorted_rows(replace_values(df, "city", table)) == sorted_rows(result)
+    with pytest.raises(ValueError, match="not text: id"):
+        replace_values(df, "id", table)
+
+
+def test_a_rule_table_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rules = spark.createDataFrame([("A", "B"), ("C", "D")], "a string, b string")
+    df = spark.createDataFrame(ROWS, LOCATIONS)
+    assert replace_values(df, "city", rules.mapInArrow(count, rules.schema)).count() == len(ROWS)
+    assert seen.value == 2
+
+
 @pytest.mark.parametrize("form", ["map", "large", "table"])
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_replace_values(spark, conf, monkeypatch, form, broadcast):
@@ -81,8 +118,7 @@ def test_replace_values(spark, conf, monkeypatch, form, broadcast):
     result = replace_values(df, "city", forms(spark, RULES, 1)[form])
     assert result.columns == df.columns
     assert sorted_rows(result) == REPLACED
-    if form != "map":
-        assert ("BroadcastHashJoin" in plan_text(result)) == broadcast
+    assert ("BroadcastHashJoin" in plan_text(result)) == broadcast
 
 
 PAIRS = {("A", "X"): "Y", ("A", "Y"): "Z", ("B", "X"): "W"}
@@ -166,6 +202,11 @@ def test_top_per_group(spark):
     assert sorted_rows(joined) == [("a", 10, "y", 2.0), ("b", 20, "x", 3.0)]
 
 
+def test_top_per_group_keeps_every_column(spark):
+    df = spark.createDataFrame([("a", 1, 9), ("a", 2, 8)], "g string, v int, __rank int")
+    assert rows(top_per_group(df, ["g"], [F.desc("v")])) == [("a", 2, 8)]
+
+
 def test_rounding_halves(spark):
     data = [("a", 2.5), ("b", -2.5), ("c", 0.25), ("c", 0.25), ("d", None)]
     df = spark.createDataFrame(data, "k string, v double")
@@ -179,6 +220,10 @@ def test_years_use_the_month_column(spark, tmp_path):
     days = [datetime.datetime(y, m, 15) for y in (2011, 2012, 2013) for m in (1, 12)]
     df = spark.createDataFrame([(d, d.date().replace(day=1)) for d in days], "at timestamp_ntz, sale_month date")
     df.write.partitionBy("sale_month").parquet(str(tmp_path / "t"))
-    kept = within_years(spark.read.parquet(str(tmp_path / "t")), 2012, 2012, "at")
+    table = spark.read.parquet(str(tmp_path / "t"))
+    kept = within_years(table, 2012, 2012, "at", "sale_month")
     assert sorted(r["at"] for r in kept.collect()) == days[2:4]
     assert "PartitionFilters: [isnotnull(sale_month" in plan_text(kept)
+    # A column that only has the name is not taken for the partition column.
+    other = table.withColumn("sale_month", F.lit(7))
+    assert sorted(r["at"] for r in within_years(other, 2012, 2012, "at").collect()) == days[2:4]

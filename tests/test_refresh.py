@@ -1,3 +1,5 @@
+import pytest
+
 from martwright import schemas
 from martwright.plans import TABLES, full_refresh
 from martwright.sources import read_parquet
@@ -70,3 +72,20 @@ def test_refresh_again_keeps_the_last_run_and_switches_names(spark, tmp_path):
     assert spark.table("refreshed.dm_total_year_sale").count() == 1
     assert read_parquet(spark, first["dm_total_year_sale"]).count() == 3
     spark.sql("DROP DATABASE refreshed CASCADE")
+
+
+def test_a_missing_database_is_noticed_before_any_work(spark, tmp_path):
+    with pytest.raises(ValueError, match="nowhere"):
+        run(spark, tmp_path, "warehouse", database="nowhere")
+    assert not (tmp_path / "warehouse").exists()
+
+
+def test_old_refreshes_go_on_request(spark, tmp_path):
+    first = run(spark, tmp_path, "warehouse")
+    run(spark, tmp_path, "warehouse")
+    last = run(spark, tmp_path, "warehouse", keep_refreshes=2)
+    assert len(list((tmp_path / "warehouse").iterdir())) == 2
+    assert not (tmp_path / first["fact_sales"]).exists()
+    assert read_parquet(spark, last["dm_total_year_sale"]).count() == 3
+    with pytest.raises(ValueError):
+        run(spark, tmp_path, "warehouse", keep_refreshes=0)

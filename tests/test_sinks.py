@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from martwright.operators import within_years
 from martwright.sinks import publish_view, save_table, write_by_month, write_parquet
 from martwright.sources import read_parquet, read_table
-from martwright.storage import scratch_path
+from martwright.storage import discard, folders, scratch_path
 
 from .conftest import plan_text
 
@@ -35,7 +35,7 @@ def files(path, month):
 def test_by_month_layout(spark, tmp_path):
     path = str(tmp_path / "fact")
     df = facts(spark)
-    write_by_month(df, path)
+    write_by_month(df, path, last_keys=["id"], rows_per_file=1000)
     back = spark.read.parquet(path)
     assert back.count() == df.count()
     assert back.filter(F.col("sale_month") != F.trunc("sale_date", "MM")).count() == 0
@@ -47,29 +47,66 @@ def test_by_month_layout(spark, tmp_path):
         assert keys == sorted(keys)
 
 
-def test_small_months_are_one_file_and_a_hot_month_is_split(spark, conf, tmp_path):
-    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
-    conf("spark.sql.shuffle.partitions", "499")  # no two of the months share a partition
+def test_small_months_stay_whole_and_a_hot_month_is_split(spark, tmp_path):
     path = str(tmp_path / "fact")
-    write_by_month(facts(spark, 60_000).repartition(32), path)
+    write_by_month(facts(spark, 60_000).repartition(32), path, last_keys=["id"], rows_per_file=5000)
     assert len(files(path, "2012-01-01")) >= 3
     others = [len(files(path, f"2013-{month:02d}-01")) for month in range(1, 13)]
-    assert others == [1] * 12
+    assert max(others) <= 2 and others.count(1) >= 6
     assert spark.read.parquet(path).count() == 60_000
 
 
+def counties_by_file(path, month):
+    return [
+        pq.ParquetFile(file).read(["county"]).column("county").to_pylist()
+        for file in files(path, month)
+    ]
+
+
+def one_month(spark, county, n=64_000):
+    day = F.date_add(F.lit(datetime.date(2012, 1, 1)), (F.col("id") % 31).cast("int"))
+    return spark.range(n).select(
+        "id",
+        day.cast("timestamp_ntz").alias("sale_date"),
+        county.alias("county"),
+        F.concat(F.lit("city "), F.col("id") * 13 % 501).alias("city"),
+        F.concat(F.lit("kind "), F.col("id") * 17 % 40).alias("category_name"),
+    )
+
+
+def test_a_county_lies_in_few_files_of_its_month(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    county = F.format_string("county %03d", F.col("id") * 7 % 100)
+    write_by_month(
+        one_month(spark, county).repartition(16), path, last_keys=["id"], rows_per_file=3200
+    )
+    held = counties_by_file(path, "2012-01-01")
+    assert len(held) >= 16
+    for name in (f"county {i:03d}" for i in range(100)):
+        assert sum(name in counties for counties in held) <= 2
+
+
+def test_a_hot_county_is_several_files_of_similar_size(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    county = F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 70))
+    write_by_month(one_month(spark, county), path, last_keys=["id"], rows_per_file=4000)
+    sizes = [len(counties) for counties in counties_by_file(path, "2012-01-01") if "hot" in counties]
+    assert len(sizes) >= 12
+    assert max(sizes) <= 2 * (sum(sizes) / len(sizes))
+
+
 def test_missing_dates_are_kept(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, datetime.datetime(2012, 1, 5))], "id int, sale_date timestamp_ntz")
     path = str(tmp_path / "fact")
-    write_by_month(df, path, cluster_columns=["id"])
+    write_by_month(df, path, cluster_columns=[], last_keys=["id"])
     assert spark.read.parquet(path).count() == 2
-    assert [r.id for r in within_years(spark.read.parquet(path), 2012, 2012, "sale_date").collect()] == [2]
+    assert [r.id for r in within_years(spark.read.parquet(path), 2012, 2012, "sale_date", "sale_month").collect()] == [2]
 
 
 def test_years_prune_folders(spark, tmp_path):
     path = str(tmp_path / "fact")
-    write_by_month(facts(spark), path)
-    kept = within_years(spark.read.parquet(path), 2013, 2013, "sale_date")
+    write_by_month(facts(spark), path, last_keys=["id"])
+    kept = within_years(spark.read.parquet(path), 2013, 2013, "sale_date", "sale_month")
     assert "PartitionFilters: [isnotnull(sale_month" in plan_text(kept)
     read = {Path(f).parent.name[:15] for f in kept.select("id", F.input_file_name()).toPandas().iloc[:, 1]}
     assert read == {"sale_month=2013"}
@@ -112,7 +149,7 @@ def test_scratch_paths(spark, conf):
         assert first.startswith(base.rstrip("/") + "/")
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
+def test_scratch_needs_a_shared_folder():
     class Conf:
         def __init__(self, **options):
             self.options = options
@@ -124,8 +161,18 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         def __init__(self, **options):
             self.conf = Conf(**options)
 
-    with pytest.raises(ValueError):
-        scratch_path(Session(spark_master="yarn"), "a")
+    for master in ("yarn", "local[2]"):
+        with pytest.raises(ValueError):
+            scratch_path(Session(spark_master=master), "a")
     shared = Session(spark_master="yarn", spark_checkpoint_dir="hdfs://shared/dir/")
     assert scratch_path(shared, "a").startswith("hdfs://shared/dir/martwright/a-")
-    assert scratch_path(Session(spark_master="local[2]"), "a").startswith("/tmp/")
+
+
+def test_folders_and_discard(spark, tmp_path):
+    root = str(tmp_path / "root")
+    assert folders(spark, root) == []
+    for name in ("a", "b"):
+        write_parquet(spark.range(1), f"{root}/{name}")
+    assert sorted(folders(spark, root)) == ["a", "b"]
+    discard(spark, f"{root}/a")
+    assert folders(spark, root) == ["b"]
