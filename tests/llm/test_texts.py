@@ -1,0 +1,267 @@
+"""Tokens, packing, length histogram, line templates, quality."""
+
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from martwright.llm import quality
+from martwright.llm.lengths import length_histogram, quantile_length, suffix_sums, truncated_total
+from martwright.llm.line_templates import drop_recurring_lines, tokens_of
+from martwright.llm.packing import CAPACITY, class_sizes, cuts, pack
+from martwright.llm.tokens import Encoder, default_path
+
+from .conftest import DOCUMENTS, SF_DIR, as_rows, table
+
+ODD = [
+    "", None, " ", "Hello “World” … naïve", "İstanbul ﬁ e\u0301 <|endoftext|>x", "x\x0by \x1c z\u2003w",
+    "don't we'll 's!!'s '''s o'neil  it's\n\tA's 12ab3 ½ ² ª", "日本語 テキスト", "ÀÉŒ ß ſ ŉ", "a" * 5000, "ǆ Ω K",
+]
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(default_path())
+
+
+def ids_by_library(encoder, text):
+    return encoder.whole.encode(text or "", add_special_tokens=False).ids
+
+
+def test_ids_are_the_tokenizers(encoder, documents):
+    texts = ODD + [r.text for r in documents.select("text").collect()]
+    for _ in range(2):  # the second time with all words known
+        offsets, ids = encoder.encode(pa.array(texts, pa.large_string()))
+        for i, text in enumerate(texts):
+            assert ids[offsets[i] : offsets[i + 1]].tolist() == ids_by_library(encoder, text), text
+    offsets, ids = encoder.encode(pa.array([], pa.string()))
+    assert offsets.tolist() == [0] and len(ids) == 0
+
+
+def check_packing(encoder, rows, pieces, capacity=CAPACITY):
+    """Every id in exactly one piece, every sequence gapless and not too long; the padded share."""
+    expected = Counter()
+    for doc_id, text in rows:
+        ids = np.array([*ids_by_library(encoder, text), 1], "<u4")
+        expected[doc_id, len(ids)] += 1
+    starts, by_sequence = defaultdict(list), defaultdict(list)
+    texts = dict(rows)
+    for doc_id, start, length, crc, tokens, sequence, offset in pieces:
+        ids = np.array([*ids_by_library(encoder, texts[doc_id]), 1], "<u4")
+        assert crc == zlib.crc32(ids[start : start + length].tobytes()) and tokens == len(ids)
+        starts[doc_id, tokens].append((start, length))
+        by_sequence[sequence].append((offset, length))
+    assert starts.keys() == expected.keys()
+    for (doc_id, tokens), own in starts.items():
+        assert Counter(i for s, n in own for i in range(s, s + n)) == Counter(
+            {i: expected[doc_id, tokens] for i in range(tokens)}
+        )
+    padding = total = 0
+    for own in by_sequence.values():
+        at = 0
+        for offset, length in sorted(own):
+            assert offset == at
+            at += length
+        assert at <= capacity
+        total += at
+        padding += 0 if at & (at - 1) == 0 else capacity - at
+    return padding / max(1, total + padding)
+
+
+PIECE = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def test_packing_of_the_table(spark, documents, encoder):
+    rows = as_rows(documents, "doc_id", "text")
+    for parts in (1, 70):
+        pieces = as_rows(pack(documents.repartition(parts)), *PIECE)
+        assert check_packing(encoder, rows, pieces) < 0.03
+
+
+def test_packing_of_odd_rows(spark, encoder):
+    rows = [(i, t) for i, t in enumerate([*ODD, "word " * 9000, "one"])] + [(99, "same")] * 40
+    frame = table(spark, [(i, t, 1) for i, t in rows], "doc_id long, text string, worker int")
+    check_packing(encoder, rows, as_rows(pack(frame.repartition(3)), *PIECE))
+    assert pack(table(spark, [], DOCUMENTS)).count() == 0
+    assert as_rows(pack(table(spark, [(None, "a")], "doc_id long, text string")), "doc_id", "length") == [(None, 2)]
+
+
+def test_pieces_fit_their_class():
+    classes = np.array(class_sizes(CAPACITY))
+    assert classes[0] == 1 and classes[-1] == CAPACITY and (np.diff(classes) > 0).all()
+    for tokens in (*range(1, 2 * CAPACITY + 2), 100_000):
+        pieces = cuts(tokens, CAPACITY, classes)
+        assert sum(length for length, _ in pieces) == tokens
+        assert all(length * k <= CAPACITY and k in classes for length, k in pieces)
+
+
+def test_length_histogram(spark, documents, encoder):
+    lengths = np.array([len(ids_by_library(encoder, r.text)) for r in documents.collect()])
+    sums = suffix_sums(length_histogram(documents.repartition(3))).cache()
+    for row in sums.collect():
+        at = row.length
+        assert row.documents == (lengths == at).sum() and row.tokens == at * row.documents
+        assert row.documents_at_least == (lengths >= at).sum()
+        assert row.tokens_at_least == lengths[lengths >= at].sum()
+        assert row.documents_at_most == (lengths <= at).sum()
+        assert row.truncated_tokens == np.minimum(lengths, at).sum()
+        assert row.quantile == pytest.approx((lengths <= at).mean())
+    for limit in (0, 1, 100, 513, 10**6):
+        assert truncated_total(sums, limit).first().tokens == np.minimum(lengths, limit).sum()
+    assert quantile_length(sums, 0.5).first().length == np.sort(lengths)[(len(lengths) + 1) // 2 - 1]
+
+
+def test_length_histogram_of_nulls_and_nothing(spark):
+    empty = table(spark, [], DOCUMENTS)
+    sums = suffix_sums(length_histogram(empty))
+    assert sums.count() == 0 and truncated_total(sums, 10).first().tokens == 0
+    some = table(spark, [(None,), ("",), ("a",)], "text string")
+    assert sorted(as_rows(length_histogram(some), "length", "documents")) == [(0, 2), (1, 1)]
+
+
+def lines_by_brute_force(texts, min_documents, similarity, depth=3):
+    """The same definition, over dictionaries."""
+    lines = [
+        (doc, no, tuple(tokens_of(line)))
+        for doc, text in texts.items()
+        for no, line in enumerate((text or "").split("\n"))
+        if tokens_of(line)
+    ]
+    leaf = {tokens: (len(tokens), tokens[:depth]) for _, _, tokens in lines}
+    holders, leaf_holders = defaultdict(set), defaultdict(set)
+    for doc, _, tokens in lines:
+        holders[tokens].add(doc)
+        leaf_holders[leaf[tokens]].add(doc)
+    places = Counter()
+    for tokens, docs in holders.items():
+        if len(leaf_holders[leaf[tokens]]) >= min_documents:
+            for place, token in list(enumerate(tokens))[depth:]:
+                places[leaf[tokens], place, token] += len(docs)
+    template, found = {}, defaultdict(list)
+    for tokens in holders:
+        kept = {
+            (place, token)
+            for place, token in list(enumerate(tokens))[depth:]
+            if places[leaf[tokens], place, token] >= min_documents
+        }
+        rest = max(0, len(tokens) - depth)
+        if (
+            len(leaf_holders[leaf[tokens]]) >= min_documents
+            and len(kept) + depth >= similarity * (rest + depth)
+        ):
+            template[tokens] = (leaf[tokens], frozenset(kept))
+    for doc, no, tokens in lines:
+        if tokens in template:
+            found[template[tokens]].append((doc, no))
+    dropped = defaultdict(set)
+    for rows in found.values():
+        if len({doc for doc, _ in rows}) >= min_documents:
+            first = min(rows)
+            for doc, no in rows:
+                if (doc, no) != first:
+                    dropped[doc].add(no)
+    return {
+        doc: (
+            sorted(dropped[doc]),
+            text if not dropped[doc] else "\n".join(
+                line for no, line in enumerate(text.split("\n")) if no not in dropped[doc]
+            ),
+        )
+        for doc, text in texts.items()
+    }
+
+
+@pytest.mark.parametrize("min_documents", [3, 10])
+def test_lines_against_brute_force(spark, documents, min_documents):
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    top = max(texts) + 1
+    for i in range(12):
+        texts[top + i] = (
+            f"Page {i} of 90 printed for reader v{i}x\nown words {chr(97 + i) * 3} {chr(98 + i) * 4}\n\n"
+            f"Posted by user name{i}a on the board of {'a' if i % 2 else 'b'} today\nAll rights reserved"
+        )
+    texts[top + 20], texts[top + 21], texts[top + 22] = "", "\n \n", None
+    frame = table(spark, [(i, t, 1) for i, t in texts.items()], "doc_id long, text string, leaf int")
+    found = drop_recurring_lines(frame.repartition(4), min_documents=min_documents, dropped_column="dropped")
+    assert found.columns == ["doc_id", "text", "leaf", "dropped"]
+    result = {i: (dropped, text) for i, dropped, text in as_rows(found, "doc_id", "dropped", "text")}
+    assert result == lines_by_brute_force(texts, min_documents, 0.7)
+    assert result[top + 3][0] == [0, 3, 4] and result[top][0] != [0, 3, 4]
+
+
+def test_lines_of_repeats_nulls_and_nothing(spark):
+    assert drop_recurring_lines(table(spark, [], DOCUMENTS)).count() == 0
+    rows = [(1, "a b c d")] * 3 + [(None, "a b c d"), (2, "a b c d"), (3, "x " * 200_000)]
+    found = drop_recurring_lines(table(spark, rows, "doc_id long, text string"), min_documents=3)
+    # The null id comes first; it, 1 and 2 are three documents.
+    assert sorted(as_rows(found, "doc_id", "text"), key=str)[:5] == sorted(
+        [(1, "")] * 3 + [(2, ""), (3, "x " * 200_000)], key=str
+    )
+    assert (None, "a b c d") in as_rows(found, "doc_id", "text")
+
+
+@pytest.fixture(scope="module")
+def classified(spark):
+    # The smallest tables hold too few labels to judge by.
+    folder = SF_DIR.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return quality.classify(docs, labels).cache(), labels, docs
+
+
+def test_quality_on_held_out_documents(classified):
+    found, labels, docs = classified
+    rows = as_rows(found.join(labels, "doc_id").filter("held_out"), "quality", "score", "predicted")
+    assert len(rows) > 800
+    assert np.mean([q == p for q, _, p in rows]) > 0.99
+    assert all(0 <= s <= 1 and p == (s >= 0.7) for _, s, p in rows)
+    assert found.count() == docs.count()
+    for doc_id, held in as_rows(found.select("doc_id", "held_out").limit(500), "doc_id", "held_out"):
+        assert held == (zlib.crc32(str(doc_id).encode()) % 4 == 2)
+
+
+def test_quality_does_not_learn_from_held_out_labels(spark, classified):
+    _, labels, docs = classified
+    few = docs.filter("doc_id < 800")
+    turned = F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality"))
+    known = labels.filter("doc_id < 800")
+    first = dict(as_rows(quality.classify(few, known), "doc_id", "score"))
+    second = dict(as_rows(quality.classify(few, known.withColumn("quality", turned)), "doc_id", "score"))
+    assert first == pytest.approx(second)
+
+
+def test_quality_of_odd_rows(spark, classified):
+    _, labels, _ = classified
+    rows = [(1, None, 0.5), (2, "", 0.5), (3, "x" * 300_000, 0.5), (None, "a b", 0.5), (4, "a", 0.5), (4, "a", 0.5)]
+    frame = table(spark, rows, "doc_id long, text string, score double")
+    nothing = labels.limit(0)
+    assert {s for (s,) in as_rows(quality.classify(frame, nothing), "score")} == {1.0}
+    junk = table(spark, [(1, 0), (3, 0)], "doc_id long, quality int")
+    assert {s for (s,) in as_rows(quality.classify(frame, junk), "score")} == {0.0}
+    model = quality.initial(np.random.default_rng(1))
+    scored = {i: s for i, s in as_rows(quality.score(frame, model), "doc_id", "score")}
+    assert scored[1] == scored[2] and all(0 <= s <= 1 for s in scored.values())
+    assert quality.classify(frame.limit(0), labels).count() == 0
+
+
+def test_scores_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(2)
+    model = quality.initial(rng)
+    texts = ["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in (0, 1, 47, 48, 49, 96, 97, 5000)]
+    scorer = quality.Scorer(model)
+    together = scorer.scores(pa.array(texts, pa.large_string()))
+    alone = [scorer.scores(pa.array([t], pa.large_string()))[0] for t in texts]
+    assert together == pytest.approx(alone)
+
+
+def test_the_whole_text_counts():
+    """A change anywhere in a long text can change its score."""
+    scorer = quality.Scorer(quality.initial(np.random.default_rng(4)))
+    base = "ab " * 20_000
+    plain = scorer.scores(pa.array([base], pa.large_string()))[0]
+    for at in (0, 30_000, 59_900):
+        other = base[:at] + "!#%Q" * 25 + base[at + 100 :]
+        assert scorer.scores(pa.array([other], pa.large_string()))[0] != plain
