@@ -23,22 +23,22 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         .distinct(),
         "links",
     )
-    state = _fingerprint(edges)
-    while True:
+    while not _are_stars(edges):
         edges = keep(_small_star(_large_star(edges)), "links")
-        new = _fingerprint(edges)
-        if new == state:
-            break
-        state = new
     return edges.select(F.col("high").alias("node"), F.col("low").alias("component")).unionByName(
         edges.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct()
     )
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(
-        edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("high", "low"))).first()
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every larger node has one link, to a node that is nowhere the larger one."""
+    roles = edges.select(
+        F.col("high").alias("node"), F.lit(1).alias("as_high"), F.lit(0).alias("as_low")
+    ).unionByName(
+        edges.select(F.col("low").alias("node"), F.lit(0).alias("as_high"), F.lit(1).alias("as_low"))
     )
+    counts = roles.groupBy("node").agg(F.sum("as_high").alias("high"), F.max("as_low").alias("low"))
+    return counts.filter((F.col("high") > 1) | ((F.col("high") > 0) & (F.col("low") > 0))).isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -54,7 +54,6 @@ def _large_star(edges: DataFrame) -> DataFrame:
         both.filter(F.col("other") > F.col("node"))
         .join(least, F.col("node") == F.col("of"))
         .select(F.col("other").alias("high"), F.col("least").alias("low"))
-        .distinct()
     )
 
 

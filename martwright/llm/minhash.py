@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,39 +31,90 @@ from .components import connected_components
 
 SHINGLE_WORDS = 5
 PERCENT = 80
-BANDS = 32
+BANDS = 28
 ROWS = 5
 # Exact buckets of up to so many members compare all of them at once; larger ones name up to so many
 # pivots a round. The engine limits a rank before the shuffle up to 1000.
-SMALL_BUCKET = 32
+SMALL_BUCKET = 64
 MOST_PIVOTS = 512
 # Shingles whose coordinates are computed at once.
-SLICE = 1 << 13
-_UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-_BLANKS = str.maketrans("\t\n\x0b\x0c\r", "     ")
+SLICE = 1 << 11
+# Bytes of texts that are split and hashed at once, and the tables for it: A-Z in lower case, blanks
+# (space and the controls from tab to carriage return), and a number per byte.
+SLICE_BYTES = 1 << 20
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+_NUMBERS = np.random.default_rng(9).integers(0, 1 << 64, 256, dtype=np.uint64)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_FACTOR = np.uint64(0xFF51AFD7ED558CCD)
 
 SIGNATURES = "doc_id long, n_shingles long, class binary, bands array<long>"
 
 
-def words_of(text: str | None) -> list[str]:
-    """Words of a text, A-Z in lower case. Only space and the controls from tab to carriage return
-    separate them."""
-    if not text:
-        return []
-    return [w for w in text.translate(_UPPER).translate(_BLANKS).split(" ") if w]
+def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
+    """For each text its distinct shingles as sorted 64-bit hashes.
+
+    A text with fewer words is one shingle, a null or one without words has none. Texts with the same
+    shingles have the same hashes; two different shingles of a pair of texts have the same hash in one
+    case of 10^10 or fewer.
+    """
+    binary = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    at = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
+    data = np.frombuffer(binary.buffers()[2] or b"", np.uint8)
+    cuts = np.flatnonzero(np.diff((at[1:] - at[0]) // SLICE_BYTES)) + 1
+    bounds = [0, *cuts.tolist(), len(binary)]
+    for first, last in zip(bounds, bounds[1:]):
+        if last > first:
+            offsets = at[first : last + 1]
+            yield from _slice_sets(data[offsets[0] : offsets[-1]], offsets - offsets[0], words)
+
+
+def _slice_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
+    filled = ~_BLANK[data]
+    starting = filled.copy()
+    starting[1:] &= ~filled[:-1]
+    inner = offsets[:-1][offsets[:-1] < len(data)]
+    starting[inner] = filled[inner]
+    starts = np.flatnonzero(starting)
+    if not len(starts):
+        yield from (np.zeros(0, np.uint64) for _ in offsets[1:])
+        return
+    # A word is a polynomial of its bytes, modulo 2^64, and of its length.
+    number = np.cumsum(starting) - 1
+    place = np.arange(len(data)) - starts[np.maximum(number, 0)]
+    place[~filled] = 0
+    powers = np.cumprod(np.full(int(place.max()) + 1, _BASE))
+    values = _NUMBERS[_LOWER[data]]
+    values *= powers[place]
+    values[~filled] = 0
+    hashes = np.add.reduceat(values, starts)
+    hashes ^= np.add.reduceat(filled, starts, dtype=np.uint64) * _FACTOR
+    hashes ^= hashes >> np.uint64(29)
+    hashes *= _FACTOR
+    hashes ^= hashes >> np.uint64(32)
+    # Shingles of one word, then two, and so on; a text takes the longest it has words for.
+    bounds = np.searchsorted(starts, offsets)
+    counts = np.diff(bounds)
+    mixed = np.full(len(hashes), _BASE)
+    short: dict[int, np.ndarray] = {}
+    for j in range(words):
+        mixed = mixed[: max(0, len(hashes) - j)]
+        mixed ^= hashes[j:]
+        mixed *= _FACTOR
+        mixed ^= mixed >> np.uint64(32)
+        for i in np.flatnonzero(counts == j + 1):
+            short[int(i)] = mixed[bounds[i] : bounds[i] + 1].copy()
+    for i, (first, n) in enumerate(zip(bounds.tolist(), counts.tolist())):
+        if n > words:
+            yield np.unique(mixed[first : first + n - words + 1])
+        else:
+            yield short.get(i, np.zeros(0, np.uint64))
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
-    """The distinct shingles of a text as sorted 64-bit hashes. A text with fewer words is one
-    shingle, one without words has none. Texts with the same shingles have the same hashes; two
-    different shingles of a pair of texts have the same hash in one case of 10^10 or fewer."""
-    own = words_of(text)
-    if not own:
-        return np.zeros(0, np.uint64)
-    last = max(1, len(own) - words + 1)
-    digest = xxhash.xxh3_64_intdigest
-    found = {digest(" ".join(own[i : i + words])) for i in range(last)}
-    return np.sort(np.fromiter(found, np.uint64, len(found)))
+    """The same for one text."""
+    return next(shingle_sets(pa.array([text], pa.large_string()), words))
 
 
 def _mix(x: np.ndarray, first: int, second: int) -> np.ndarray:
@@ -80,11 +132,14 @@ def signature(hashes: np.ndarray, coordinates: int) -> np.ndarray:
     shuffled = _mix((hashes >> np.uint64(32)).astype(np.uint32), 0x7FEB352D, 0x846CA68B)
     result = np.full(coordinates, 0xFFFFFFFF, np.uint32)
     # One shift moves by an odd step, so that all 2^32 shifts differ.
-    shifts = (np.arange(coordinates, dtype=np.uint64) * 0x9E3779B1).astype(np.uint32)
-    per_slice = max(1, SLICE // 8)
-    for k in range(0, len(shuffled), per_slice):
-        part = shuffled[k : k + per_slice]
-        values = _mix(part[None, :] + shifts[:, None], 0x2C1B3C6D, 0x297A2D39)
+    shifts = (np.arange(coordinates, dtype=np.uint64) * 0x9E3779B1).astype(np.uint32)[:, None]
+    for k in range(0, len(shuffled), SLICE):
+        # The shifted permutation; its input is mixed already, and only the order of its high bits
+        # matters.
+        values = shuffled[None, k : k + SLICE] + shifts
+        values *= np.uint32(0x2C1B3C6D)
+        values ^= values >> np.uint32(15)
+        values *= np.uint32(0x297A2D39)
         np.minimum(result, values.min(axis=1), out=result)
     return result
 
@@ -94,10 +149,8 @@ def _signatures(words: int, bands: int, rows: int):
 
     def build(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            ids, sizes, classes, keys = [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                hashes = shingle_hashes(text, words)
-                ids.append(doc_id)
+            sizes, classes, keys = [], [], []
+            for hashes in shingle_sets(batch.column("text"), words):
                 sizes.append(len(hashes))
                 if len(hashes):
                     classes.append(xxhash.xxh3_128_digest(hashes.tobytes()))
@@ -115,7 +168,7 @@ def _signatures(words: int, bands: int, rows: int):
                 pa.array(folded.astype(np.uint64).reshape(-1).view(np.int64)), bands
             ).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), lists],
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), lists],
                 ["doc_id", "n_shingles", "class", "bands"],
             )
 
@@ -127,7 +180,7 @@ def _sets(words: int):
         for batch in source:
             for k in range(0, len(batch), 256):
                 part = batch.slice(k, 256)
-                sets = [np.sort(shingle_hashes(t, words).view(np.int64)) for t in part.column("text").to_pylist()]
+                sets = [np.sort(s.view(np.int64)) for s in shingle_sets(part.column("text"), words)]
                 at = np.cumsum([0, *map(len, sets)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["node", "shingles"])
@@ -232,15 +285,10 @@ def _bucket_links(
         "sets",
     )
     # At first every shingle may be shared.
-    state = crowded.select(
-        "*",
-        F.col("size").alias("shared"),
-        F.col("node").alias("component"),
-        F.lit(True).alias("top"),
-    )
-    links, left = _round(state, sets, None, 1, 0, percent)
+    state = crowded.select("*", F.col("size").alias("shared"), F.col("node").alias("component"))
+    links, left = _round(state, sets, None, 1, 1, percent)
     state = _prefix_buckets(left, sets, percent)
-    pivots = 4
+    pivots = 64
     while not state.isEmpty():
         links, state = _round(state, sets, links, pivots, SMALL_BUCKET, percent)
         pivots = min(4 * pivots, MOST_PIVOTS)
@@ -276,7 +324,7 @@ def _possible(size: Column, other_size: Column, common: Column, percent: int) ->
 
 def _ranked(state: DataFrame, pivots: int, small: int) -> DataFrame:
     """The pivots of every bucket: ``pivots`` members, those with the fewest shingles of their own
-    first, and as many of those outside the bucket's top component; or all members of a bucket of at
+    first, and later as many of those outside the bucket's top component; or all members of a bucket of at
     most ``small``. The limits apply before the shuffle, so a bucket sends that many rows per task."""
     most = max(pivots, small)
     central = Window.partitionBy("bucket").orderBy(F.col("size") - F.col("shared"), "node")
@@ -289,17 +337,15 @@ def _ranked(state: DataFrame, pivots: int, small: int) -> DataFrame:
         .filter((F.col("place") <= pivots) | (F.col("members") <= small))
         .drop("place", "of", "members")
     )
-    outside = state.filter(~F.col("top")).withColumn("place", place).filter(F.col("place") <= pivots)
-    return (
-        first.unionByName(outside.drop("place"))
-        .distinct()
-        .select(
-            F.col("bucket").alias("of"),
-            F.col("node").alias("pivot"),
-            F.col("size").alias("pivot_size"),
-            F.col("shared").alias("pivot_shared"),
-            F.col("component").alias("pivot_component"),
-        )
+    if "top" in state.columns:
+        outside = state.filter(~F.col("top")).withColumn("place", place)
+        first = first.unionByName(outside.filter(F.col("place") <= pivots).drop("place")).distinct()
+    return first.select(
+        F.col("bucket").alias("of"),
+        F.col("node").alias("pivot"),
+        F.col("size").alias("pivot_size"),
+        F.col("shared").alias("pivot_shared"),
+        F.col("component").alias("pivot_component"),
     )
 
 
