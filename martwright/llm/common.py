@@ -58,20 +58,16 @@ def numbered(df: DataFrame, order: Sequence[Column], label: str, name: str) -> D
     No task sees more than its range: rows are range-partitioned and stored, numbered inside each
     part, and each part's start is the sum of the sizes of the parts before it, one row per part.
     """
-    part, local = fresh("part"), fresh("local")
-    ranges = keep(
-        df.repartitionByRange(*order)
-        .withColumn(part, F.spark_partition_id())
-        .withColumn(local, F.lit(0)),
-        label,
-    ).drop(local)
+    part, start = fresh("part"), fresh("start")
+    ranges = keep(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), label)
     sizes = ranges.groupBy(part).agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(local))
+    # One row per part, so it is broadcast.
+    starts = sizes.select(part, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start))
     place = F.row_number().over(Window.partitionBy(part).orderBy(*order)) - 1
     return (
         ranges.withColumn(name, place.cast("long"))
         .join(F.broadcast(starts), part)
-        .withColumn(name, F.col(name) + F.col(local))
-        .drop(part, local)
+        .withColumn(name, F.col(name) + F.col(start))
+        .drop(part, start)
     )

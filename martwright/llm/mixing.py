@@ -33,7 +33,7 @@ HELD = 10
 SNAP = 1e-9
 
 UNITS = (
-    "doc_id long, text_key long, source string, size long, source_size long, target double, "
+    "doc_id long, no_id boolean, text_key long, source string, size long, source_size long, target double, "
     "base int, bucket long, p double"
 )
 
@@ -115,7 +115,10 @@ def mix(
     order = F.xxhash64(F.lit(seed), "doc_id", "text_key")
     fraction = F.col("ratio") - F.floor("ratio")
     units = rows.withColumn("ratio", ratio).select(
-        *("doc_id", "text_key", "source", "size", "source_size", "target"),
+        # A null among integers would turn them into floating point numbers in the groups.
+        F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
+        F.col("doc_id").isNull().alias("no_id"),
+        *("text_key", "source", "size", "source_size", "target"),
         F.floor("ratio").cast("int").alias("base"),
         F.pmod(order, F.lit(buckets)).alias("bucket"),
         F.when(fraction > 1 - SNAP, 1.0)
@@ -143,7 +146,8 @@ def mix(
         result = result.unionByName(part)
     copies = (F.col("base") + F.col("p")).cast("int")
     return result.select(
-        *("doc_id", "text_key", "source", "size", "source_size", "target"),
+        F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"),
+        *("text_key", "source", "size", "source_size", "target"),
         copies.alias("copies"),
         (F.col("size") * copies).alias("taken"),
     )
@@ -153,9 +157,9 @@ def _flight(seed: int, level: int, landing: bool):
     """The flight over one group's rows, each source on its own, in a fixed order."""
 
     def fly(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = ["doc_id", "text_key", "size"]
+        keys = ["doc_id", "no_id", "text_key", "size"]
         rows = rows.sort_values(keys, kind="stable", ignore_index=True)
-        mixed = pd.util.hash_array(rows["doc_id"].fillna(-1).to_numpy("int64") ^ np.int64(seed))
+        mixed = pd.util.hash_array(rows["doc_id"].to_numpy("int64") ^ np.int64(seed))
         rows = rows.iloc[np.argsort(mixed, kind="stable")].reset_index(drop=True)
         bucket = int(rows["bucket"].iloc[0]) if len(rows) else 0
         p = rows["p"].to_numpy(float).copy()

@@ -16,7 +16,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -182,17 +181,21 @@ def _first_fit(left: DataFrame, capacity: int, level: int) -> DataFrame:
     """The landing: fewer than k pieces of each class k, whatever the corpus, longest first."""
     base = sequence_base(level, 0)
 
-    def place(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
+    def place(table: pa.Table) -> pa.Table:
+        keys = [(c, "descending" if c == "length" else "ascending") for c in ("length", "doc_id", "start", "ids_crc32")]
+        table = table.drop_columns("all").sort_by(keys)
         used: list[int] = []
         sequence, offset = [], []
-        for length in rows["length"]:
+        for length in table.column("length").to_pylist():
             at = next((i for i, u in enumerate(used) if u + length <= capacity), len(used))
             if at == len(used):
                 used.append(0)
             sequence.append(base + at)
             offset.append(used[at])
             used[at] += length
-        return rows.drop(columns="all").assign(sequence_id=sequence, offset=offset)
+        for name, values in (("sequence_id", sequence), ("offset", offset)):
+            at = table.schema.get_field_index(name)
+            table = table.set_column(at, name, pa.array(values, pa.int64()))
+        return table
 
-    return left.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(place, PIECES)
+    return left.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(place, PIECES)

@@ -263,7 +263,7 @@ def test_targets(spark):
 
 def test_the_mix_meets_its_targets(spark, documents):
     frame = documents.unionByName(
-        table(spark, [(-1, None, "x", None, 0), (-2, "a b", "x", None, 0), (-3, "", "x", "src1", 0)], DOCUMENTS)
+        table(spark, [(-1, None, "x", None, 0), (2**62 + 1, "a b", "x", None, 0), (-3, "", "x", "src1", 0)], DOCUMENTS)
     )
     first = mix(frame)
     rows = as_rows(first, "doc_id", "source", "size", "source_size", "target", "copies", "taken")
@@ -304,9 +304,10 @@ def test_the_flight_over_many_buckets(spark, monkeypatch):
 
 
 def test_mixed_documents_keep_their_columns(spark):
-    rows = [(1, "a b c", "en", "s", 5), (1, "a b c", "en", "s", 5), (2, None, "en", None, 0), (None, "x", "en", "t", 1)]
+    big = 2**62 + 1
+    rows = [(1, "a b c", "en", "s", 5)] * 2 + [(big, None, "en", None, 0), (None, "x", "en", "t", 1)]
     frame = table(spark, rows, DOCUMENTS)
-    copies = Counter(dict.fromkeys([(1, "s"), (2, None), (None, "t")], 0))
+    copies = Counter(dict.fromkeys([(1, "s"), (big, None), (None, "t")], 0))
     for doc_id, source, times in as_rows(mix(frame), "doc_id", "source", "copies"):
         copies[doc_id, source] += times
     out = mixed_documents(frame)
