@@ -18,4 +18,93 @@ ORACLES = {
                sha256(kept_text) AS text_sha256
         FROM chosen
     """,
+    "op3_minhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, unnest(
+                       CASE WHEN len(w) = 0 THEN []
+                            WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                            ELSE list_transform(range(1, len(w) - 1),
+                                                lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                       END) AS shingle
+            FROM words
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), pairs AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+            FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY ALL
+        ), links AS (
+            SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+            WHERE 100 * common >= 85 * (p.n + q.n - common)
+        ), reach(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION
+            SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.other
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id,
+               doc_id = min(other) AS kept
+        FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+    """,
+    "op9_line_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents
+        ), lines AS (
+            SELECT doc_id, unnest(range(len(parts))) AS no, unnest(parts) AS line FROM split
+        ), parsed AS (
+            SELECT doc_id, no, list_transform(
+                       list_filter(string_split_regex(line, '[\x20\x09\x0B-\x0D]+'), lambda t: t <> ''),
+                       lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS tokens
+            FROM lines
+        ), placed AS (
+            SELECT doc_id, no, tokens,
+                   len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf
+            FROM parsed WHERE len(tokens) > 0
+        ), busy AS (
+            SELECT leaf FROM placed GROUP BY leaf HAVING count(DISTINCT doc_id) >= 10
+        ), different AS (
+            SELECT leaf, tokens, count(DISTINCT doc_id) AS documents
+            FROM placed JOIN busy USING (leaf) GROUP BY ALL
+        ), fields AS (
+            SELECT leaf, tokens, documents, unnest(range(4, len(tokens) + 1)) AS place,
+                   unnest(tokens[4:]) AS token
+            FROM different
+        ), constant AS (
+            SELECT leaf, place, token FROM fields GROUP BY ALL HAVING sum(documents) >= 10
+        ), kept AS (
+            SELECT leaf, tokens, count(*) AS n,
+                   string_agg(place || ' ' || token, chr(10) ORDER BY place) AS template
+            FROM fields JOIN constant USING (leaf, place, token) GROUP BY ALL
+        ), templates AS (
+            SELECT leaf, tokens, coalesce(template, '') AS template
+            FROM different LEFT JOIN kept USING (leaf, tokens)
+            WHERE coalesce(n, 0) + 3 >= CAST(0.7 AS DOUBLE) * (greatest(len(tokens) - 3, 0) + 3)
+        ), matched AS (
+            SELECT doc_id, no, leaf, template FROM placed JOIN templates USING (leaf, tokens)
+        ), recurring AS (
+            SELECT leaf, template, min((doc_id, no)) AS first
+            FROM matched GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10
+        ), dropped AS (
+            SELECT doc_id, no FROM matched JOIN recurring USING (leaf, template)
+            WHERE (doc_id, no) <> first
+        ), losing AS (
+            SELECT doc_id, count(*) AS n_dropped FROM dropped GROUP BY doc_id
+        ), rebuilt AS (
+            SELECT doc_id, string_agg(line, chr(10) ORDER BY no) AS shorter
+            FROM lines ANTI JOIN dropped USING (doc_id, no) SEMI JOIN losing USING (doc_id)
+            GROUP BY doc_id
+        ), result AS (
+            SELECT doc_id, coalesce(n_dropped, 0) AS n_dropped,
+                   CASE WHEN n_dropped IS NULL THEN text ELSE coalesce(shorter, '') END AS left_over
+            FROM documents LEFT JOIN losing USING (doc_id) LEFT JOIN rebuilt USING (doc_id)
+        )
+        SELECT doc_id, CAST(n_dropped AS INTEGER) AS n_dropped,
+               CAST(length(left_over) AS INTEGER) AS points_left, md5(left_over) AS text_md5
+        FROM result
+    """,
 }

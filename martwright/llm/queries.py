@@ -81,7 +81,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return drop_recurring_lines(documents, dropped_column="dropped").select(
         "doc_id",
-        "dropped",
+        F.size("dropped").alias("n_dropped"),
         F.length("text").alias("points_left"),
         F.md5("text").alias("text_md5"),
     )
