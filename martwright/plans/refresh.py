@@ -63,7 +63,9 @@ def full_refresh(
     population = stored(prepare_population(spark, population_csv), paths["dim_county_population"])
 
     cleansed = cleanse_sales(landed, county_rules, city_rules, pair_rules, excluded_county)
-    write_by_month(cleansed, paths["fact_sales"], rows_per_file=rows_per_file)
+    write_by_month(
+        cleansed, paths["fact_sales"], rows_per_file=rows_per_file, rows=landed.count()
+    )
     fact = read_parquet(spark, paths["fact_sales"])
     summary = stored(summarise(measures(fact)), paths["sales_summary"])
 

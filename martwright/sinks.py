@@ -33,6 +33,7 @@ def write_by_month(
     month_column: str = MONTH_COLUMN,
     last_keys: Sequence[str] = ("invoice_item_number",),
     rows_per_file: int = ROWS_PER_FILE,
+    rows: int | None = None,
 ) -> None:
     """Parquet partitioned by month and clustered by ``cluster_columns`` across a month's files.
 
@@ -41,12 +42,13 @@ def write_by_month(
     column lies in a few neighbouring files of its month, and the others' statistics skip them. A
     month smaller than a file is one file, or two at the border of a range; a larger one is several.
     ``last_keys`` should be nearly unique: they let a range end inside a frequent county and
-    category, so that no value is too large for one task. The rows are counted and sampled first,
-    which computes their keys twice more: pass a stored table, or few computed key columns.
+    category, so that no value is too large for one task. The rows are sampled first, which computes
+    their keys once more, and counted unless the caller gives ``rows``, their number or a bound of it:
+    pass a stored table, or one that is cheap to compute.
     """
     layout = df.withColumn(month_column, month_of(F.col(time_column)))
     order = [month_column, *cluster_columns, *last_keys]
-    ranges = max(1, math.ceil(df.count() / rows_per_file))
+    ranges = max(1, math.ceil((df.count() if rows is None else rows) / rows_per_file))
     (
         layout.repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)

@@ -290,7 +290,8 @@ def parsed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sales_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "sales-by-month")
-    sales = star.sales(spark, sf_dir)
+    # Stored, so that the joins run once and not for the sample as well.
+    sales = stored(star.sales(spark, sf_dir), scratch_path(spark, "sales"))
     write_by_month(
         sales,
         path,
