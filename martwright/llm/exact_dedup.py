@@ -23,7 +23,11 @@ SHIFT = Decimal(10) ** 19
 
 
 def without_blanks(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), BLANKS, "")
+    """One pass per blank, each a search of bytes; ``translate`` looks every character up."""
+    plain = F.coalesce(text, F.lit(""))
+    for blank in BLANKS:
+        plain = F.replace(plain, F.lit(blank), F.lit(""))
+    return plain
 
 
 def _number(value: Decimal) -> Column:
