@@ -29,8 +29,9 @@ SAMPLE_CHUNKS = 12
 EPOCHS = 8
 BATCH = 32
 THRESHOLD = 0.7
-# Text bytes convolved at once; a longer document is cut at block borders.
-SLICE_BYTES = 1 << 15
+# Blocks convolved at once, which should fit the processor's cache, and chunks pooled at once.
+BLOCKS_AT_ONCE = 1 << 9
+SEGMENT_CHUNKS = 1 << 14
 
 Model = dict[str, np.ndarray]
 
@@ -146,39 +147,62 @@ class Scorer:
         self.high = (t[2][None, :, :] + t[3][:, None, :]).reshape(-1, FILTERS)
 
     def scores(self, texts: pa.Array) -> np.ndarray:
-        """One probability per text; a null text is empty."""
+        """One probability per text; a null text is empty.
+
+        Texts are taken in segments of bounded size, cut between chunks, and a text's largest
+        responses are put together from its segments: memory does not grow with the texts.
+        """
         binary = pc.fill_null(texts.cast(pa.large_binary()), b"")
         at = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1]
         data = np.frombuffer(binary.buffers()[2] or b"", np.uint8)
-        sizes = np.diff(at)
-        blocks = np.maximum(1, -(-sizes // STRIDE))
+        chunks = np.maximum(1, -(-np.diff(at) // STRIDE) - 1)
+        pieces = -(-chunks // SEGMENT_CHUNKS)
+        text = np.repeat(np.arange(len(chunks)), pieces)
+        piece = np.arange(len(text)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        begin = at[text] + piece * SEGMENT_CHUNKS * STRIDE
+        own = np.minimum(chunks[text] - piece * SEGMENT_CHUNKS, SEGMENT_CHUNKS)
+        pooled = np.zeros((len(chunks), UNITS), np.float32)
+        cuts = np.flatnonzero(np.diff(np.cumsum(own) // SEGMENT_CHUNKS)) + 1
+        bounds = [0, *cuts.tolist(), len(own)]
+        for first, last in zip(bounds, bounds[1:]):
+            if last > first:
+                part = slice(first, last)
+                most = self._pooled(data, begin[part], at[text[part] + 1], own[part])
+                np.maximum.at(pooled, text[part], most)
+        logits = (pooled * self.model["out"]).sum(axis=1, dtype=np.float64)
+        return _sigmoid(logits + float(self.model["out_bias"][0]))
+
+    def _pooled(
+        self, data: np.ndarray, begin: np.ndarray, end: np.ndarray, chunks: np.ndarray
+    ) -> np.ndarray:
+        """The largest responses of segments: of ``chunks`` chunks from ``begin`` on, in texts that
+        stop at ``end``. A chunk is a block of ``STRIDE`` bytes and the next one, if there is one."""
+        paired = end - begin > STRIDE
+        blocks = chunks + paired
         first = np.cumsum(blocks) - blocks
-        # Blocks of all texts, in order: where each begins, and how much of it is text.
-        total = int(blocks.sum())
-        inside = np.arange(total) - np.repeat(first, blocks)
-        begin = np.repeat(at[:-1], blocks) + inside * STRIDE
-        end = np.repeat(at[1:], blocks)
-        sums = np.empty((total, FILTERS), np.float32)
-        per_slice = max(1, SLICE_BYTES // STRIDE)
-        for k in range(0, total, per_slice):
-            sums[k : k + per_slice] = self._block_sums(
-                data, begin[k : k + per_slice], end[k : k + per_slice]
-            )
-        filled = np.clip(end - begin, 0, STRIDE).astype(np.float32)
-        chunks = np.maximum(1, blocks - 1)
+        inside = np.arange(int(blocks.sum())) - np.repeat(first, blocks)
+        block_begin = np.repeat(begin, blocks) + inside * STRIDE
+        block_end = np.repeat(end, blocks)
+        sums = self._block_sums(data, block_begin, block_end)
+        filled = np.clip(block_end - block_begin, 0, STRIDE).astype(np.float32)
         start = np.cumsum(chunks) - chunks
         left = np.repeat(first, chunks) + (np.arange(int(chunks.sum())) - np.repeat(start, chunks))
-        paired = np.repeat(blocks > 1, chunks)
-        right = np.where(paired, left + 1, left)
-        count = np.maximum(filled[left] + np.where(paired, filled[right], 0), 1)[:, None]
-        total_sums = sums[left] + sums[right] * paired[:, None]
-        chunk = np.concatenate([total_sums / count, count / CHUNK], axis=1)
+        has_next = np.repeat(paired, chunks)
+        right = np.where(has_next, left + 1, left)
+        count = np.maximum(filled[left] + np.where(has_next, filled[right], 0), 1)[:, None]
+        chunk = np.concatenate([(sums[left] + sums[right] * has_next[:, None]) / count, count / CHUNK], axis=1)
         hidden = np.maximum(chunk @ self.model["dense"] + self.model["dense_bias"], 0)
-        pooled = np.maximum.reduceat(hidden, start, axis=0) if len(start) else hidden
-        logits = (pooled * self.model["out"]).sum(axis=1, dtype=np.float64)
-        return _sigmoid(logits + float(self.model["out_bias"][0]))
+        return np.maximum.reduceat(hidden, start, axis=0)
 
     def _block_sums(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The filters' activations, summed over the text of each block."""
+        sums = np.empty((len(begin), FILTERS), np.float32)
+        for k in range(0, len(begin), BLOCKS_AT_ONCE):
+            part = slice(k, k + BLOCKS_AT_ONCE)
+            sums[part] = self._convolved(data, begin[part], end[part])
+        return sums
+
+    def _convolved(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         spots = begin[:, None] + np.arange(STRIDE + WIDTH - 1)
         inside = spots < end[:, None]
         if len(data):
@@ -270,12 +294,9 @@ def score(
     if isinstance(model, float):
         return plain.withColumn(name, F.lit(model))
 
-    @F.pandas_udf("double")
-    def probability(texts):
-        import pandas as pd
-
-        scorer = _scorer(model)
-        return pd.Series(scorer.scores(pa.array(texts, pa.large_string(), from_pandas=True)))
+    @F.arrow_udf("double")
+    def probability(texts: pa.Array) -> pa.Array:
+        return pa.array(_scorer(model).scores(texts), pa.float64())
 
     return plain.withColumn(name, probability(F.col(text_column)))
 

@@ -21,8 +21,8 @@ SPLIT = r"('s|'t|'re|'ve|'m|'ll|'d|[^\s\pL\pN]+|\pN)"
 # the library, combining marks, and the opening of a special token.
 NOT_PLAIN = r"[^\t\n\f\r -~¡-įı-ſ‐-‧‰-⁞€]|<\|"
 # Words kept with their ids per Python worker; words beyond it are encoded again in every batch.
-KEPT_WORDS = 400_000
-SLICE_BYTES = 8_000_000
+KEPT_WORDS = 300_000
+SLICE_BYTES = 4_000_000
 
 
 def default_path() -> str:
@@ -55,14 +55,8 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """``texts``: strings; a null counts as empty. Works in slices of bounded size."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        sizes = pc.binary_length(texts).to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero(np.diff(np.cumsum(sizes) // SLICE_BYTES)) + 1
-        bounds = [0, *cuts.tolist(), len(texts)]
-        parts = [self._slice(texts[a:b]) for a, b in zip(bounds, bounds[1:]) if b > a]
-        counts = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
-        ids = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, "<u4")
+        """``texts``: strings; a null counts as empty."""
+        counts, ids = self._slice(pc.fill_null(texts.cast(pa.large_string()), ""))
         return np.concatenate([[0], np.cumsum(counts)]), ids
 
     def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -127,7 +121,14 @@ def encoder(path: str) -> Encoder:
 
 
 def batches(path: str, source: Iterator[pa.RecordBatch], column: str):
-    """For each Arrow batch: the batch, and the (offsets, ids) of its texts."""
+    """For each Arrow batch, cut to about ``SLICE_BYTES`` of text: the rows, and the (offsets, ids) of
+    their texts."""
     own = encoder(path)
     for batch in source:
-        yield batch, own.encode(batch.column(column))
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES)) + 1
+        bounds = [0, *cuts.tolist(), len(batch)]
+        for first, last in zip(bounds, bounds[1:]):
+            if last > first:
+                part = batch.slice(first, last - first)
+                yield part, own.encode(part.column(column))
