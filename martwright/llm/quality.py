@@ -24,9 +24,9 @@ UNITS = 32
 STRIDE = 48
 CHUNK = 2 * STRIDE
 # The bounds of the training sample: documents per label, and chunks per document.
-SAMPLE_DOCUMENTS = 1200
+SAMPLE_DOCUMENTS = 2000
 SAMPLE_CHUNKS = 12
-EPOCHS = 8
+EPOCHS = 10
 BATCH = 32
 THRESHOLD = 0.7
 # Blocks convolved at once, which should fit the processor's cache, and chunks pooled at once.
