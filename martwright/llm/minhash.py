@@ -204,7 +204,7 @@ def _verified(percent: int):
                 common = int((mine[place] == other).sum())
                 linked[i] = 100 * common >= percent * (len(mine) + len(other) - common)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("member"), batch.column("pivot")], ["a", "b"]
+                [batch.column("component"), batch.column("pivot_component")], ["a", "b"]
             ).filter(pa.array(linked))
 
     return check
@@ -286,35 +286,36 @@ def _bucket_links(
     )
     # At first every shingle may be shared.
     state = crowded.select("*", F.col("size").alias("shared"), F.col("node").alias("component"))
-    links, left = _round(state, sets, None, 1, 1, percent)
+    links, left = _round(state, sets, 1, 1, percent)
     state = _prefix_buckets(left, sets, percent)
-    pivots = 64
+    # One pivot connects nearly all of a group of near copies; only what is left then needs more.
+    pivots, small = 1, 1
     while not state.isEmpty():
-        links, state = _round(state, sets, links, pivots, SMALL_BUCKET, percent)
-        pivots = min(4 * pivots, MOST_PIVOTS)
+        found, state = _round(state, sets, pivots, small, percent)
+        links = links.unionByName(found)
+        pivots, small = min(64 * pivots, MOST_PIVOTS), SMALL_BUCKET
     return links
 
 
 def _round(
-    state: DataFrame, sets: DataFrame, links: DataFrame | None, pivots: int, small: int, percent: int
+    state: DataFrame, sets: DataFrame, pivots: int, small: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
-    """All links so far, and what is left to compare without the pivots, which have met their
-    buckets."""
+    """New links, between the components that nodes had before, and what is left to compare without
+    the pivots, which have met their buckets. A component is named by one of its nodes, so a link
+    between components is as good as one between nodes."""
     ranked = keep(_ranked(state, pivots, small), "ranked")
     pairs = keep(_pairs(state, ranked, percent), "pairs")
     found = keep(_verify(pairs, sets, percent), "verified")
-    if links is not None:
-        found = links.unionByName(found)
-    links, components = found, connected_components(found)
+    components = connected_components(found)
     met = ranked.select(F.col("of").alias("b"), F.col("pivot").alias("n"))
     named = components.select(F.col("node").alias("of"), F.col("component").alias("c"))
     left = (
         state.join(met, (F.col("bucket") == F.col("b")) & (F.col("node") == F.col("n")), "left_anti")
-        .join(named, F.col("node") == F.col("of"), "left")
+        .join(named, F.col("component") == F.col("of"), "left")
         .withColumn("component", F.coalesce("c", "component"))
         .select("bucket", "node", "size", "shared", "component")
     )
-    return links, _open(keep(left, "state"), percent)
+    return found, _open(keep(left, "state"), percent)
 
 
 def _possible(size: Column, other_size: Column, common: Column, percent: int) -> Column:
@@ -359,20 +360,20 @@ def _pairs(state: DataFrame, ranked: DataFrame, percent: int) -> DataFrame:
             & (F.col("component") != F.col("pivot_component"))
             & _possible(F.col("size"), F.col("pivot_size"), common, percent),
         )
-        .select(F.col("node").alias("member"), "pivot")
+        .select(F.col("node").alias("member"), "pivot", "component", "pivot_component")
         .distinct()
     )
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are links."""
+    """The components of the pairs that are links."""
     members = sets.select(F.col("node").alias("m"), F.col("shingles").alias("member_set"))
     pivots = sets.select(F.col("node").alias("p"), F.col("shingles").alias("pivot_set"))
     return (
         pairs.join(members, F.col("member") == F.col("m"))
-        .select("member", "pivot", "member_set")
+        .select("pivot", "component", "pivot_component", "member_set")
         .join(pivots, F.col("pivot") == F.col("p"))
-        .select("member", "pivot", "member_set", "pivot_set")
+        .select("component", "pivot_component", "member_set", "pivot_set")
         .mapInArrow(_verified(percent), "a long, b long")
     )
 
