@@ -147,6 +147,20 @@ class Tree:
         return (gap * gap).sum(axis=1)
 
 
+def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` largest scores, ties to the smaller id; an id with several vectors counts once."""
+    most = len(scores)
+    if most > 2 * k:
+        # Sorting can wait for those that reach the k-th best, unless repeated ids are among them.
+        near = scores >= np.partition(scores, most - 2 * k)[most - 2 * k]
+        if len(np.unique(ids[near])) >= k:
+            ids, scores = ids[near], scores[near]
+    order = np.lexsort((ids, -scores))
+    _, first = np.unique(ids[order], return_index=True)
+    order = order[np.sort(first)[:k]]
+    return ids[order], scores[order]
+
+
 def _search(k: int, factor: float):
     """Search one block for its queries."""
 
@@ -169,10 +183,13 @@ def _search(k: int, factor: float):
                 # The square of the distance at which the test stops the walk.
                 limit = math.inf if bound is None else factor * (2 - 2 * bound) + SLACK
                 away = tree.square_distances(origin)
-                for leaf in np.argsort(away, kind="stable"):
-                    if away[leaf] > limit:
-                        break
-                    at = tree.leaves[leaf]
+                order = np.argsort(away, kind="stable")
+                # Outward, one leaf at first and then twice as many each time.
+                done, step = 0, 1
+                while done < len(order) and away[order[done]] <= limit:
+                    leaves = order[done : done + step]
+                    done, step = done + step, 2 * step
+                    at = np.concatenate([tree.leaves[i] for i in leaves[away[leaves] <= limit]])
                     gap = points[at] - origin
                     at = at[((gap * gap).sum(axis=1) <= limit) & (ids[at] != name)]
                     if not len(at):
@@ -180,10 +197,7 @@ def _search(k: int, factor: float):
                     score = (vectors[at] * vector).sum(axis=1) / (lengths[at] * length)
                     score = np.concatenate([best_score, score])
                     own = np.concatenate([best_id, ids[at]])
-                    order = np.lexsort((own, -score))
-                    _, first = np.unique(own[order], return_index=True)
-                    order = order[np.sort(first)[:k]]
-                    best_id, best_score = own[order], score[order]
+                    best_id, best_score = best_of(own, score, k)
                     if len(best_id) == k:
                         limit = min(limit, factor * (2 - 2 * best_score[-1]) + SLACK)
                 out_query += [name] * len(best_id)
@@ -243,10 +257,22 @@ def nearest(
     rows = rows.filter(F.size("vector") == size)
     share = min(1.0, SAMPLE_ROWS / count)
     draw = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    sample = _matrix(rows.filter(draw).orderBy("vec_id").select("vector").toArrow().column("vector"))
     project = directions(size)
-    cells = Cells(unit(sample) @ project if len(sample) else np.zeros((0, DIMENSIONS)), 1 / share,
-                  math.ceil(count / BLOCK_ROWS))
+
+    def points(source):
+        for batch in source:
+            if len(batch):
+                found = unit(_matrix(batch.column("vector"))) @ project
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(found.reshape(-1)), DIMENSIONS)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("vec_id"), lists.cast(pa.list_(pa.float64()))], ["vec_id", "point"]
+                )
+
+    # Only the projections of the sample come to the driver.
+    found = rows.filter(draw).select("vec_id", "vector").mapInArrow(points, "vec_id long, point array<double>")
+    sample = found.orderBy("vec_id", "point").toArrow().column("point")
+    sample = _matrix(sample) if len(sample) else np.zeros((0, DIMENSIONS))
+    cells = Cells(sample, 1 / share, math.ceil(count / BLOCK_ROWS))
     factor = chi_square_quantile(confidence, DIMENSIONS)
 
     def place(source):
