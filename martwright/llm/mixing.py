@@ -17,7 +17,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep, numbered, word_count
@@ -221,30 +221,67 @@ def land(p: np.ndarray, size: np.ndarray, undecided: list[int]) -> None:
 
 def mixed_documents(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken."""
-    text = options.get("text_column", "text")
-    drawn = (
+    text, source = options.get("text_column", "text"), options.get("source_column", "source")
+    drawn = keep(
         mix(docs, id_column, **options)
-        .groupBy("doc_id", "text_key")
+        .groupBy("doc_id", "text_key", "source")
         .agg(F.sum("copies").alias("all_copies"), F.count(F.lit(1)).alias("rows"))
         .select(
             F.col("doc_id").alias("__mix_id"),
             F.col("text_key").alias("__mix_key"),
-            F.col("all_copies").alias("__mix_copies"),
-            F.col("rows").alias("__mix_rows"),
-        )
+            F.col("source").alias("__mix_source"),
+            F.expr("cast(all_copies div rows as int)").alias("__mix_each"),
+            (F.col("all_copies") % F.col("rows")).alias("__mix_more"),
+        ),
+        "drawn",
     )
     key: Column = F.xxhash64(F.col(text))
-    joined = docs.join(
-        drawn,
+    same = (
         F.col(id_column).cast("long").eqNullSafe(F.col("__mix_id"))
-        & (key == F.col("__mix_key")),
+        & (key == F.col("__mix_key"))
+        & F.col(source).cast("string").eqNullSafe(F.col("__mix_source"))
     )
-    # Rows that repeat an id and text share their copies evenly.
-    share = F.expr("__mix_copies div __mix_rows").cast("int")
+    # Rows that repeat an id, text and source share their copies evenly, and the first of them take
+    # one more each until none is left.
+    even = docs.join(drawn.filter("__mix_each > 0 and __mix_more = 0"), same)
+    result = _repeated(even, docs.columns)
+    uneven = drawn.filter("__mix_more > 0")
+    if not uneven.isEmpty():
+        placed = docs.withColumn("__mix_place", F.monotonically_increasing_id())
+        more = (F.col("__mix_number") <= F.col("__mix_more")).cast("int")
+        shared = _numbered_repeats(placed.join(uneven, same)).withColumn(
+            "__mix_each", F.col("__mix_each") + more
+        )
+        result = result.unionByName(_repeated(shared.filter("__mix_each > 0"), docs.columns))
+    return result
+
+
+def _repeated(rows: DataFrame, columns: list[str]) -> DataFrame:
     each = F.explode(F.sequence(F.lit(1), F.col("__mix_each")))
+    return rows.withColumn("__mix_copy", each).select(*columns)
+
+
+def _numbered_repeats(rows: DataFrame) -> DataFrame:
+    """Number the rows of each id, text and source from 1. They are numbered inside each part of the
+    input, and a part starts behind the rows of those before it, so that no task sees all of them."""
+    group = ["__mix_id", "__mix_key", "__mix_source"]
+    # The upper bits of a place are the part it was read in.
+    parts = keep(rows.withColumn("__mix_part", F.expr("shiftright(__mix_place, 33)")), "repeats")
+    before = Window.partitionBy(*group).orderBy("__mix_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        parts.groupBy(*group, "__mix_part")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(
+            *(F.col(c).alias(f"{c}_of") for c in [*group, "__mix_part"]),
+            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__mix_start"),
+        )
+    )
+    inside = F.row_number().over(Window.partitionBy(*group, "__mix_part").orderBy("__mix_place"))
+    at = F.lit(True)
+    for column in [*group, "__mix_part"]:
+        at = at & F.col(column).eqNullSafe(F.col(f"{column}_of"))
     return (
-        joined.withColumn("__mix_each", share)
-        .filter(F.col("__mix_each") > 0)
-        .withColumn("__mix_copy", each)
-        .select(*docs.columns)
+        parts.withColumn("__mix_inside", inside)
+        .join(starts, at)
+        .withColumn("__mix_number", F.col("__mix_inside") + F.col("__mix_start"))
     )

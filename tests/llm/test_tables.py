@@ -317,6 +317,25 @@ def test_mixed_documents_keep_their_columns(spark):
     assert mix(frame.limit(0)).count() == 0 and mixed_documents(frame.limit(0)).count() == 0
 
 
+def test_mixed_documents_are_the_mix_of_repeated_rows(spark):
+    """Sources above and below their size, every row present two or three times, in several parts."""
+    rows = [(i, f"{'w ' * (i % 7 + 1)}{i}", "en", f"s{i % 2}", 1) for i in range(120)]
+    rows = rows * 2 + rows[::3] + [(5, rows[5][1], "en", "s0", 1), (None, None, "en", None, 0), (None, "x", "en", None, 0)] * 3
+    frame = table(spark, rows, DOCUMENTS).repartition(5)
+    ratios = set()
+    for share in (0.4, 1.5):
+        copies = Counter()
+        for doc_id, source, key, times, ratio in as_rows(
+            mix(frame, total_share=share).withColumn("ratio", F.col("target") / F.col("source_size")),
+            *("doc_id", "source", "text_key", "copies", "ratio"),
+        ):
+            copies[doc_id, source, key] += times
+            ratios.add(ratio)
+        out = mixed_documents(frame, total_share=share).withColumn("key", F.xxhash64("text"))
+        assert Counter(as_rows(out, "doc_id", "source", "key")) == +copies
+    assert min(ratios) < 1 < max(ratios)
+
+
 # Pipeline
 
 
