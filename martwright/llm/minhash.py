@@ -176,14 +176,23 @@ def _signatures(words: int, bands: int, rows: int):
 
 
 def _sets(words: int):
+    """The sets of the rows that are of their node's class: an id may have other texts as well."""
+
     def build(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
             for k in range(0, len(batch), 256):
                 part = batch.slice(k, 256)
-                sets = [np.sort(s.view(np.int64)) for s in shingle_sets(part.column("text"), words)]
+                hashes = list(shingle_sets(part.column("text"), words))
+                own = [
+                    xxhash.xxh3_128_digest(h.tobytes()) == wanted
+                    for h, wanted in zip(hashes, part.column("class").to_pylist())
+                ]
+                sets = [np.sort(h.view(np.int64)) for h, mine in zip(hashes, own) if mine]
                 at = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sets)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists], ["node", "shingles"])
+                values = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(values))
+                nodes = part.column("node").filter(pa.array(own, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([nodes, lists], ["node", "shingles"])
 
     return build
 
@@ -242,13 +251,21 @@ def near_duplicates(
         .select("doc_id", "leader"),
         "members",
     )
-    # A class is represented once, by the leader's signature.
+    # A class is represented once, by the leader's signature. Its node is named by the class, since an
+    # id with several texts may lead several classes, and it starts in the component of its leader.
     leaders = (
         usable.join(classes, (F.col("class") == F.col("of")) & (F.col("doc_id") == F.col("leader")))
-        .dropDuplicates(["class"])
-        .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "bands")
+        .withColumn("node", F.xxhash64("class"))
+        .groupBy("node", "class", "leader")
+        .agg(
+            F.first("n_shingles").alias("size"),
+            F.first("bands").alias("bands"),
+            F.count(F.lit(1)).alias("rows"),
+        )
+    )
+    buckets = leaders.select(
+        "node", "size", F.col("leader").alias("component"), F.explode("bands").alias("bucket")
     )
-    buckets = leaders.select("node", "size", F.explode("bands").alias("bucket"))
     shared = (
         buckets.groupBy("bucket")
         .agg(F.min("node").alias("low"), F.max("node").alias("high"))
@@ -256,7 +273,8 @@ def near_duplicates(
         .select(F.col("bucket").alias("of"))
     )
     crowded = keep(buckets.join(shared, F.col("bucket") == F.col("of")).drop("of"), "buckets")
-    links = _bucket_links(crowded, texts, shingle_words, percent)
+    owners = leaders.select("node", "class", "leader", "rows")
+    links = _bucket_links(crowded, owners, texts, shingle_words, percent)
     same = members.select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
     components = connected_components(same.unionByName(links))
 
@@ -274,18 +292,24 @@ def near_duplicates(
 
 
 def _bucket_links(
-    crowded: DataFrame, texts: DataFrame, shingle_words: int, percent: int
+    crowded: DataFrame, owners: DataFrame, texts: DataFrame, shingle_words: int, percent: int
 ) -> DataFrame:
     """Links between representatives that connect all of them that share a bucket and a link."""
     nodes = crowded.select("node").distinct()
-    sets = keep(
-        texts.join(nodes, F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(
-            _sets(shingle_words), "node long, shingles array<long>"
-        ),
-        "sets",
-    )
+    owners = keep(owners.join(nodes, "node", "left_semi"), "owners")
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        rows = texts.join(some, F.col("doc_id") == F.col("leader")).select("node", "class", "text")
+        return rows.mapInArrow(_sets(shingle_words), "node long, shingles array<long>")
+
+    # One set per node: a leader that several rows repeat would count its shingles as often.
+    sets = sets_of(owners.filter("rows = 1"))
+    repeated = owners.filter("rows > 1")
+    if not repeated.isEmpty():
+        sets = sets.unionByName(sets_of(repeated).dropDuplicates(["node"]))
+    sets = keep(sets, "sets")
     # At first every shingle may be shared.
-    state = crowded.select("*", F.col("size").alias("shared"), F.col("node").alias("component"))
+    state = crowded.select("*", F.col("size").alias("shared"))
     links, left = _round(state, sets, 1, 1, percent)
     state = _prefix_buckets(left, sets, percent)
     # One pivot connects nearly all of a group of near copies; only what is left then needs more.

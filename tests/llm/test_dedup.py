@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 
+from martwright.llm import minhash
 from martwright.llm.components import connected_components
 from martwright.llm.exact_dedup import exact_duplicates
 from martwright.llm.minhash import near_duplicates, shingle_hashes, signature
@@ -105,6 +106,49 @@ def test_near_duplicates_of_nulls_repeats_and_nothing(spark):
     )
 
 
+def variants_of_repeated_rows():
+    """Groups without a common original, whose members repeat their rows; 90 of 100 words are common
+    to two, so that exact buckets decide what the bands leave open."""
+    rng, texts = random.Random(12), {}
+    for group in range(25):
+        common = [f"g{group}c{i}" for i in range(90)]
+        for member in range(2):
+            own = [f"g{group}m{member}o{i}" for i in range(10)]
+            words = common + own
+            rng.shuffle(words)
+            texts[10 * group + member] = " ".join(words)
+    return texts
+
+
+@pytest.mark.parametrize("times", [(3, 1), (2, 2), (1, 1)])
+def test_prefix_buckets_keep_pairs_of_repeated_rows(spark, times, monkeypatch):
+    """What the first round leaves open: with its links ignored, exact buckets have to find all."""
+    whole = minhash._round
+    calls = []
+
+    def blind_first_round(state, sets, pivots, small, percent):
+        calls.append(1)
+        if len(calls) > 1:
+            return whole(state, sets, pivots, small, percent)
+        return whole(state.limit(0), sets, pivots, small, percent)[0], state
+
+    monkeypatch.setattr(minhash, "_round", blind_first_round)
+    texts = variants_of_repeated_rows()
+    rows = [(i, t) for i, t in texts.items() for _ in range(times[i % 10])]
+    found = dict(as_rows(
+        near_duplicates(table(spark, rows, "doc_id long, text string"), shingle_words=1, percent=80),
+        *("doc_id", "component_id"),
+    ))
+    assert found == {i: c for i, (_, c) in components_by_brute_force(texts, 1, 80).items()}
+
+
+def test_an_id_that_leads_several_classes(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, a), (1, b), (1, a.upper()), (2, a + " x"), (3, b + " y"), (3, b + " y"), (4, "c d e f")]
+    found = as_rows(near_duplicates(table(spark, rows, "doc_id long, text string")), "doc_id", "component_id")
+    assert sorted(found) == [(1, 1)] * 3 + [(2, 1), (3, 1), (3, 1), (4, 4)]
+
+
 def test_signatures_estimate_the_similarity():
     rng = random.Random(1)
     a = " ".join(f"x{rng.randrange(10**6)}" for _ in range(600))
