@@ -3,7 +3,9 @@
 Every line is parsed down the tree by its number of tokens and its first ``DEPTH`` tokens, tokens with
 a digit counting as a variable field. In each leaf that enough documents reach, fields are
 generalised: a token stays in the template if enough documents have it at that place of that leaf,
-otherwise the place is variable. A line belongs to a template if enough of its places stay constant.
+otherwise the place is variable. A line belongs to a template if enough of its places stay constant,
+where leading fields with a digit do not count, and enough of all its places are constant words: rows of
+different numbers have no template in common.
 Templates that recur across enough documents are dropped, all but the first line that shows them.
 
 Only hashes of lines are shuffled at first. Tokens are looked at once per different line, and only
@@ -22,6 +24,8 @@ from .common import keep
 DEPTH = 3
 MIN_DOCUMENTS = 10
 SIMILARITY = 0.7
+# The share of a line's places that have to be constant and without a digit.
+WORDS = 0.5
 VARIABLE = "<*>"
 # Space and the ASCII controls from tab to carriage return separate tokens; a line ends at "\n".
 TOKEN_BLANKS = str.maketrans("\t\x0b\x0c\r", "    ")
@@ -29,6 +33,9 @@ TOKEN_BLANKS = str.maketrans("\t\x0b\x0c\r", "    ")
 LINES = (
     "doc_id long, text_key long, line_no int, leaf long, line long, new_leaf boolean, new_line boolean"
 )
+PLACES = (
+    "leaf long, line long, documents long, leading int, length int, place int, token long, word boolean"
+)
 
 
 def tokens_of(line: str) -> list[str]:
@@ -88,28 +95,34 @@ def _places(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The tokens of the wanted lines, one row per place behind the leading ones; a line without
     such a place gives one row with place -1."""
     for batch in source:
-        leaves, lines, documents, places, tokens = [], [], [], [], []
+        columns = leaves, lines, documents, leading, lengths, places, tokens, words = tuple([] for _ in range(8))
         for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
             split = (text or "").split("\n")
             for want in wanted:
                 parts = tokens_of(split[want["line_no"]])
+                named = sum(token != VARIABLE for token in parts[:DEPTH])
                 for place, token in list(enumerate(parts))[DEPTH:] or [(-1, "")]:
                     leaves.append(want["leaf"])
                     lines.append(want["line"])
                     documents.append(want["documents"])
+                    leading.append(named)
+                    lengths.append(len(parts))
                     places.append(place)
                     tokens.append(signed_hash(token))
+                    words.append(place >= 0 and token != VARIABLE)
                 if len(places) > 200_000:
-                    yield _place_batch(leaves, lines, documents, places, tokens)
-                    leaves, lines, documents, places, tokens = [], [], [], [], []
-        yield _place_batch(leaves, lines, documents, places, tokens)
+                    yield _place_batch(columns)
+                    for column in columns:
+                        column.clear()
+        yield _place_batch(columns)
 
 
-def _place_batch(leaves, lines, documents, places, tokens) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+def _place_batch(columns: tuple[list, ...]) -> pa.RecordBatch:
+    long, short = pa.int64(), pa.int32()
+    kinds = [long, long, long, short, short, short, long, pa.bool_()]
     return pa.RecordBatch.from_arrays(
-        [pa.array(v, k) for v, k in zip((leaves, lines, documents, places, tokens), kinds)],
-        ["leaf", "line", "documents", "place", "token"],
+        [pa.array(v, k) for v, k in zip(columns, kinds)],
+        [part.split()[0] for part in PLACES.split(", ")],
     )
 
 
@@ -151,9 +164,7 @@ def recurring_lines(
         wanted, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_key") == F.col("at_key"))
     )
     places = keep(
-        shown.select("text", "wanted").mapInArrow(
-            _places, "leaf long, line long, documents long, place int, token long"
-        )
+        shown.select("text", "wanted").mapInArrow(_places, PLACES)
         # Rows that repeat an id and text show their lines twice.
         .dropDuplicates(["leaf", "line", "place"]),
         "places",
@@ -166,8 +177,9 @@ def recurring_lines(
             F.col("leaf").alias("c_leaf"), F.col("place").alias("c_place"), F.col("token").alias("c_token")
         )
     )
-    stays = F.col("c_leaf").isNotNull()
-    leading = F.when(F.col("place") < 0, 0)
+    stays = F.col("c_leaf").isNotNull() & (F.col("place") >= 0)
+    constants = F.first("leading") + F.sum(F.when(stays, 1).otherwise(0))
+    words = F.first("leading") + F.sum(F.when(stays & F.col("word"), 1).otherwise(0))
     template = (
         places.join(
             constant,
@@ -180,10 +192,12 @@ def recurring_lines(
         .agg(
             # The same set of constant places gives the same number, in any order.
             F.bit_xor(F.when(stays, F.xxhash64("place", "token")).otherwise(0)).alias("template"),
-            F.sum(F.when(stays, 1).otherwise(leading.otherwise(0))).alias("constants"),
-            F.sum(leading.otherwise(1)).alias("places"),
+            constants.alias("constants"),
+            words.alias("words"),
+            F.first("length").alias("length"),
         )
-        .filter((F.col("constants") + DEPTH) >= similarity * (F.col("places") + DEPTH))
+        .filter(F.col("constants") >= similarity * F.col("length"))
+        .filter(F.col("words") >= WORDS * F.col("length"))
         .select(F.col("leaf").alias("t_leaf"), F.col("line").alias("t_line"), "template")
     )
     matched = keep(

@@ -205,6 +205,18 @@ def test_lines_of_repeats_nulls_and_nothing(spark):
     assert (None, "a b c d") in as_rows(found, "doc_id", "text")
 
 
+def test_different_lines_of_numbers_stay(spark):
+    """Years, list numbers and rows of numeric tables are no template, whatever their length."""
+    rows = [
+        (i, f"{1900 + i}\n{i}.\n{i} {i + 1} {i + 2}\n{' '.join(str(i * k) for k in range(1, 13))}\n"
+            f"{i} {i}. of {i}\nTotal {' '.join(str(i + k) for k in range(11))}\nTerms of use\nItem {i} of the price list")
+        for i in range(12)
+    ]
+    found = drop_recurring_lines(table(spark, rows, "doc_id long, text string"), dropped_column="dropped")
+    # The first document keeps the common lines as well.
+    assert dict(as_rows(found, "doc_id", "dropped")) == {0: []} | {i: [6, 7] for i in range(1, 12)}
+
+
 @pytest.fixture(scope="module")
 def classified(spark):
     # The smallest tables hold too few labels to judge by.
