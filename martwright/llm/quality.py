@@ -5,8 +5,9 @@ bytes that overlap by half; a dense layer looks at every chunk; the largest resp
 units over all chunks of the document gives, combined, one probability. Nothing but the text's bytes
 goes into a score.
 
-Training takes a bounded sample of labelled documents, evenly from both labels, and of each document
-up to 12 chunks spread over its whole length. Scoring reads every byte of every document.
+Training takes a bounded sample of labelled documents, evenly from both labels, and like scoring it
+reads every byte of them: each step looks at all chunks of its documents, and as a unit's largest
+response comes from one chunk, the gradient goes through that chunk only.
 """
 
 import zlib
@@ -18,14 +19,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import keep
+
 WIDTH = 4
 FILTERS = 16
 UNITS = 32
 STRIDE = 48
 CHUNK = 2 * STRIDE
-# The bounds of the training sample: documents per label, and chunks per document.
+# The bounds of the training sample, per label: documents, and bytes of whole documents.
 SAMPLE_DOCUMENTS = 2000
-SAMPLE_CHUNKS = 12
+SAMPLE_BYTES = 1 << 24
 EPOCHS = 10
 BATCH = 32
 THRESHOLD = 0.7
@@ -55,22 +58,20 @@ def initial(rng: np.random.Generator) -> Model:
     }
 
 
-def training_chunks(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Up to ``SAMPLE_CHUNKS`` chunks of a text, evenly spread: bytes (with the filters' overhang) and
-    how many positions of each are text."""
-    blocks = max(1, -(-len(data) // STRIDE))
-    chunks = max(1, blocks - 1)
-    at = np.unique(np.linspace(0, chunks - 1, min(chunks, SAMPLE_CHUNKS)).astype(int)) * STRIDE
-    padded = np.zeros(len(data) + CHUNK + WIDTH, np.uint8)
+def training_blocks(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """All blocks of a text: bytes (with the filters' overhang) and how many positions of each are
+    text. A chunk is a block and the next one, if there is one."""
+    at = np.arange(max(1, -(-len(data) // STRIDE))) * STRIDE
+    padded = np.zeros(len(data) + STRIDE + WIDTH, np.uint8)
     padded[: len(data)] = np.frombuffer(data, np.uint8)
-    windows = np.lib.stride_tricks.sliding_window_view(padded, CHUNK + WIDTH - 1)[at]
-    return windows, np.minimum(len(data) - at, CHUNK).astype(np.int32)
+    windows = np.lib.stride_tricks.sliding_window_view(padded, STRIDE + WIDTH - 1)[at]
+    return windows, np.minimum(len(data) - at, STRIDE).astype(np.int32)
 
 
 def train(
-    windows: np.ndarray, filled: np.ndarray, owner: np.ndarray, label: np.ndarray, seed: int = 7
+    blocks: np.ndarray, filled: np.ndarray, owner: np.ndarray, label: np.ndarray, seed: int = 7
 ) -> Model:
-    """Adam on the cross entropy. ``owner`` gives, ascending, the document of each chunk."""
+    """Adam on the cross entropy. ``owner`` gives, ascending, the document of each block."""
     rng = np.random.default_rng(seed)
     model = initial(rng)
     first = {k: np.zeros_like(v) for k, v in model.items()}
@@ -83,7 +84,7 @@ def train(
             docs = order[k : k + BATCH]
             rows = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in docs])
             sizes = bounds[docs + 1] - bounds[docs]
-            gradient = _gradient(model, windows[rows], filled[rows], sizes, label[docs])
+            gradient = _gradient(model, blocks[rows], filled[rows], sizes, label[docs])
             step += 1
             rate = 0.01 * min(1.0, 2 * (1 - step / (steps + 1)))
             for name, g in gradient.items():
@@ -95,27 +96,48 @@ def train(
     return model
 
 
+def _activations(model: Model, windows: np.ndarray, filled: np.ndarray) -> np.ndarray:
+    """The filters' activations at each position of the text, 0 elsewhere."""
+    width = windows.shape[1] - WIDTH + 1
+    raw = model["filters"][0][windows[:, :width]] + model["bias"]
+    for j in range(1, WIDTH):
+        raw += model["filters"][j][windows[:, j : j + width]]
+    np.maximum(raw, 0, out=raw)
+    raw *= (np.arange(width)[None, :] < filled[:, None])[:, :, None]
+    return raw
+
+
 def _gradient(
-    model: Model, windows: np.ndarray, filled: np.ndarray, sizes: np.ndarray, label: np.ndarray
+    model: Model, blocks: np.ndarray, filled: np.ndarray, sizes: np.ndarray, label: np.ndarray
 ) -> Model:
-    n = len(windows)
-    raw = np.broadcast_to(model["bias"], (n, CHUNK, FILTERS)).copy()
-    for j in range(WIDTH):
-        raw += model["filters"][j][windows[:, j : j + CHUNK]]
-    on = (raw > 0) & (np.arange(CHUNK)[None, :] < filled[:, None])[:, :, None]
-    count = np.maximum(filled, 1).astype(np.float32)[:, None]
-    chunk = np.concatenate([(raw * on).sum(axis=1) / count, count / CHUNK], axis=1)
+    """``sizes`` are the numbers of blocks of each document."""
+    sums = np.empty((len(blocks), FILTERS), np.float32)
+    for k in range(0, len(blocks), BLOCKS_AT_ONCE):
+        part = slice(k, k + BLOCKS_AT_ONCE)
+        sums[part] = _activations(model, blocks[part], filled[part]).sum(axis=1)
+    chunks = np.maximum(sizes - 1, 1)
+    starts = np.cumsum(chunks) - chunks
+    left = np.arange(int(chunks.sum())) + np.repeat(np.cumsum(sizes) - sizes - starts, chunks)
+    paired = np.repeat(sizes > 1, chunks)
+    right = np.where(paired, left + 1, left)
+    length = filled[left] + np.where(paired, filled[right], 0)
+    count = np.maximum(length, 1).astype(np.float32)[:, None]
+    chunk = np.concatenate([(sums[left] + sums[right] * paired[:, None]) / count, count / CHUNK], axis=1)
     hidden = np.maximum(chunk @ model["dense"] + model["dense_bias"], 0)
-    starts = np.cumsum(sizes) - sizes
     pooled = np.maximum.reduceat(hidden, starts, axis=0)
     score = _sigmoid(pooled @ model["out"] + model["out_bias"])
     d_score = (score - label).astype(np.float32) / len(label)
-    d_pooled = d_score[:, None] * model["out"]
-    # The gradient goes to the chunk that holds a unit's maximum; equal ones share it.
-    is_top = hidden == np.repeat(pooled, sizes, axis=0)
-    ties = np.maximum(np.add.reduceat(is_top, starts, axis=0, dtype=np.float32), 1)
-    d_hidden = np.repeat(d_pooled / ties, sizes, axis=0) * is_top * (hidden > 0)
-    d_chunk = d_hidden @ model["dense"][:FILTERS].T / count
+    d_pooled = d_score[:, None] * model["out"] * (pooled > 0)
+    # The gradient goes to the chunk that holds a unit's maximum, the first of equal ones.
+    is_top = hidden == np.repeat(pooled, chunks, axis=0)
+    places = np.where(is_top, np.arange(len(hidden))[:, None], len(hidden))
+    top, spot = np.unique(np.minimum.reduceat(places, starts, axis=0), return_inverse=True)
+    d_hidden = np.zeros((len(top), UNITS), np.float32)
+    np.add.at(d_hidden, (spot.reshape(pooled.shape), np.arange(UNITS)[None, :]), d_pooled)
+    d_chunk = d_hidden @ model["dense"][:FILTERS].T / count[top]
+    after = blocks[right[top]] * paired[top][:, None]
+    windows = np.concatenate([blocks[left[top]][:, :STRIDE], after], axis=1)
+    on = _activations(model, windows, length[top]) > 0
     d_raw = (d_chunk[:, None, :] * on).reshape(-1, FILTERS)
     d_filters = np.zeros_like(model["filters"])
     for j in range(WIDTH):
@@ -126,7 +148,7 @@ def _gradient(
     return {
         "filters": d_filters,
         "bias": d_raw.sum(axis=0),
-        "dense": chunk.T @ d_hidden,
+        "dense": chunk[top].T @ d_hidden,
         "dense_bias": d_hidden.sum(axis=0),
         "out": pooled.T @ d_score,
         "out_bias": d_score.sum(keepdims=True),
@@ -228,7 +250,8 @@ def fit(
     """Train on the labelled documents that are not held out.
 
     At most about ``sample_documents`` of each label are taken, by a hash of their ids; the sampled
-    ids are few enough to be broadcast. Documents with contradicting labels are left out. With one
+    ids are few enough to be broadcast. Where their texts have more than ``SAMPLE_BYTES`` of a label,
+    fewer documents are taken, but each as a whole. Documents with contradicting labels are left out. With one
     label only, or none, there is nothing to tell apart: the result is the constant score 1.0, or 0.0
     where every label is 0.
     """
@@ -257,32 +280,33 @@ def fit(
     texts = docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
     ).join(F.broadcast(sample), "doc_id")
-
-    def chunks(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
-            rows = []
-            for doc_id, label, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "label", "text"))):
-                data = (text or "").encode()
-                windows, filled = training_chunks(data)
-                rows.append((doc_id, label, zlib.crc32(data), windows.tobytes(), filled.tobytes()))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-            columns = zip(*rows) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                ["doc_id", "label", "crc", "windows", "filled"],
-            )
-
-    found = texts.mapInArrow(
-        chunks, "doc_id long, label long, crc long, windows binary, filled binary"
-    ).toArrow()
+    drawn = keep(
+        texts.select(
+            "doc_id",
+            "label",
+            draw.alias("draw"),
+            F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"),
+        ),
+        "sample",
+    )
+    wanted = F.lit(False)
+    sizes = drawn.select("label", "draw", F.octet_length("data").alias("bytes")).collect()
+    for label in counts:
+        last, left = -1, SAMPLE_BYTES
+        for _, place, size in sorted(row for row in sizes if row["label"] == label):
+            left -= size
+            if left < 0 <= last:
+                break
+            last = place
+        wanted = wanted | ((F.col("label") == label) & (F.col("draw") <= last))
+    found = drawn.filter(wanted).select("doc_id", "label", "data").toArrow()
     rows = sorted(zip(*(found.column(c).to_pylist() for c in found.column_names)))
     label = np.array([r[1] for r in rows], np.float32)
     if len(set(label.tolist())) < 2:
         return float(label[0]) if len(label) else 1.0
-    windows = [np.frombuffer(r[3], np.uint8).reshape(-1, CHUNK + WIDTH - 1) for r in rows]
-    filled = [np.frombuffer(r[4], np.int32) for r in rows]
-    owner = np.repeat(np.arange(len(rows)), [len(w) for w in windows])
-    return train(np.concatenate(windows), np.concatenate(filled), owner, label)
+    blocks, filled = zip(*(training_blocks(r[2]) for r in rows))
+    owner = np.repeat(np.arange(len(rows)), [len(b) for b in blocks])
+    return train(np.concatenate(blocks), np.concatenate(filled), owner, label)
 
 
 def score(

@@ -237,6 +237,47 @@ def test_quality_on_held_out_documents(classified):
         assert held == (zlib.crc32(str(doc_id).encode()) % 4 == 2)
 
 
+def test_quality_learns_from_the_whole_text(spark):
+    """One passage of 200 characters somewhere in 20,000 makes a document bad."""
+    rng = np.random.default_rng(11)
+    plain = "the quick brown fox jumps over the lazy dog and runs away "
+    rows = []
+    for i in range(400):
+        text = "".join(plain[int(rng.integers(0, 50)) :] for _ in range(700))[:20_000]
+        if i % 2:
+            at = int(rng.integers(0, 19_800))
+            text = text[:at] + "$#%@!&*(" * 25 + text[at + 200 :]
+        rows.append((i, text, 1 - i % 2))
+    frame = table(spark, rows, "doc_id long, text string, quality int")
+    found = quality.classify(frame.select("doc_id", "text"), frame.select("doc_id", "quality"))
+    right = [p == 1 - i % 2 for i, p in as_rows(found.filter("held_out"), "doc_id", "predicted")]
+    assert len(right) > 50 and np.mean(right) > 0.95
+
+
+def test_gradient_is_that_of_all_chunks():
+    """Against differences of the scorer's loss, for texts of one, two and many chunks."""
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 123, n).tolist()) for n in (0, 30, 70, 96, 97, 4000)]
+    label = np.array([0, 1, 0, 1, 0, 1], np.float32)
+    model = quality.initial(rng)
+    blocks, filled = zip(*(quality.training_blocks(t) for t in texts))
+    sizes = np.array([len(b) for b in blocks])
+    found = quality._gradient(model, np.concatenate(blocks), np.concatenate(filled), sizes, label)
+
+    def loss(changed):
+        p = quality.Scorer(changed).scores(pa.array([t.decode() for t in texts], pa.large_string()))
+        return -np.mean(np.log(np.where(label == 1, p, 1 - p)))
+
+    for name, g in found.items():
+        at = np.unravel_index(np.abs(g).argmax(), g.shape)
+        ends = []
+        for step in (1e-3, -1e-3):
+            changed = {k: v.copy() for k, v in model.items()}
+            changed[name][at] += step
+            ends.append(loss(changed))
+        assert (ends[0] - ends[1]) / 2e-3 == pytest.approx(g[at], rel=0.05, abs=1e-4), name
+
+
 def test_quality_does_not_learn_from_held_out_labels(spark, classified):
     _, labels, docs = classified
     few = docs.filter("doc_id < 800")
