@@ -10,7 +10,7 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martwright.llm import quality
@@ -51,10 +51,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies."""
+    """Keep one document of each group of near copies, and one row of those that repeat its id and
+    text. Rows without an id are all kept."""
     ship(spark)
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    kept = near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("__kept"))
+    kept = keep(kept.agg(F.count(F.lit(1)).alias("__rows")), "kept")
+    repeats = F.col("__kept").isNotNull() & (F.col("__rows") > 1)
+    same = F.col("doc_id").eqNullSafe(F.col("__kept"))
+    result = docs.join(kept.filter(~repeats), same, "left_semi")
+    repeated = kept.filter(repeats)
+    if not repeated.isEmpty():
+        # The engine limits the rank before the shuffle, so a task sends one row of each.
+        group = Window.partitionBy("doc_id", "__text").orderBy(F.xxhash64(*docs.columns))
+        rows = docs.join(repeated, same, "left_semi").withColumn("__text", F.xxhash64("text"))
+        first = rows.withColumn("__place", F.row_number().over(group)).filter("__place = 1")
+        result = result.unionByName(first.select(*docs.columns))
+    return result
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -369,6 +369,16 @@ def test_every_stage_against_its_definition(spark, documents, encoder):  # noqa:
     assert check_packing(encoder, as_rows(docs, "doc_id", "text"), pieces) < 0.05
 
 
+def test_near_dedup_leaves_one_of_repeated_rows(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(1, a)] * 3 + [(1, b), (2, a + " x"), (3, "c d"), (4, None), (4, None), (None, "n"), (None, "n")]
+    frame = table(spark, [(i, t, "en", "s", 0) for i, t in rows], DOCUMENTS).repartition(3)
+    out = corpus_pipeline.near_dedup(spark, frame, SF_DIR)
+    assert out.columns == frame.columns
+    expected = Counter([(1, a), (1, b), (3, "c d"), (4, None), (None, "n"), (None, "n")])
+    assert Counter(as_rows(out, "doc_id", "text")) == expected
+
+
 def test_the_pipeline_runs(spark):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert found.columns == pack(spark.read.parquet(f"{SF_DIR}/documents.parquet")).columns
