@@ -6,6 +6,8 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import decision_lists
+from .centroids import cluster
 from .common import ship
 from .exact_dedup import exact_duplicates
 from .lengths import length_histogram, suffix_sums
@@ -16,6 +18,7 @@ from .neighbours import nearest
 from .packing import pack
 from .quality import classify
 from .quotes import link_conversations
+from .spelling import spelling_variants, word_counts
 from .url_filter import judge
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +95,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+
+@_query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = word_counts(_table(spark, sf_dir, "documents"), slip_every=199)
+    return spelling_variants(counts)
+
+
+@_query
+def op12_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = decision_lists.fit(documents, _table(spark, sf_dir, "labels"))
+    return decision_lists.judge(documents, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@_query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(_table(spark, sf_dir, "embeddings")).drop("compared")

@@ -1,0 +1,120 @@
+"""Spelling variants against brute force."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from martwright.llm import spelling
+from martwright.llm.queries import QUERIES
+from martwright.llm.spelling import neighbours, rotations, slipped, spelling_variants, word_counts
+
+from .conftest import SF_DIR, UPPER, as_rows, table
+
+COLUMNS = ("word", "n", "n_near", "form", "form_n", "root")
+TEXTS = "doc_id long, text string, word string, n string"
+
+
+def counts_by_brute_force(rows, every):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(UPPER)
+            mark = zlib.crc32(f"{doc_id}:{run}".encode())
+            if every and doc_id is not None and mark % every == 0:
+                run = "".join(c for i, c in enumerate(run) if i != mark % len(run))
+            if len(run) >= 6:
+                counts[run] += 1
+    return counts
+
+
+def are_near(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def variants_by_brute_force(counts, min_count=5, factor=5):
+    words = {w: n for w, n in counts.items() if n >= min_count}
+    near = {w: [v for v in words if are_near(w, v)] for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= factor * words[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return {(w, n, len(near[w]), form[w], words.get(form[w]), root(w)) for w, n in words.items()}
+
+
+def test_the_query_against_brute_force(spark):
+    rows = as_rows(spark.read.parquet(f"{SF_DIR}/documents.parquet"), "doc_id", "text")
+    expected = variants_by_brute_force(counts_by_brute_force(rows, 199))
+    found = as_rows(QUERIES["op11_spelling"](spark, SF_DIR), *COLUMNS)
+    assert len(found) == len(expected) > 500
+    assert set(found) == expected
+    assert any(form for _, _, _, form, _, _ in found)
+
+
+def test_odd_texts(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "SLICE", 50)
+    monkeypatch.setattr(spelling, "COUNTED_WORDS", 20)
+    words = ["Street", "STREET", "Straße", "ÀÉŒöüß", "àéöüßß", "Àéöüßß", "×÷×÷×÷", "abc123defghi", "don't-Stopping"]
+    rows = [(i, " ".join(words[i % 9 :] + words)) for i in range(60)]
+    rows += [(None, "street Street"), (None, None), (5, None), (6, ""), (7, " \n"), rows[0], rows[0], (8, "a" * 300_000)]
+    rows += [(9, "streex " * 5000 + "streets\x00street")]
+    frame = table(spark, [(*r, "clash", "x") for r in rows], TEXTS)
+    for every in (None, 3, 199):
+        found = Counter(dict(as_rows(word_counts(frame.repartition(4), slip_every=every), "word", "n")))
+        assert found == counts_by_brute_force(rows, every)
+    counts = word_counts(frame, slip_every=3)
+    expected = variants_by_brute_force(counts_by_brute_force(rows, 3))
+    assert set(as_rows(spelling_variants(counts), *COLUMNS)) == expected and len(expected) > 10
+    assert spelling_variants(word_counts(frame.limit(0))).count() == 0
+
+
+def test_slips_are_those_of_one_document_in_many():
+    found = [slipped("thousand", str(i), 199) for i in range(20_000)]
+    wrong = [w for w in found if w != "thousand"]
+    assert 60 < len(wrong) < 150 and all(are_near(w, "thousand") for w in wrong)
+
+
+def random_counts(letters, n, seed):
+    rng = random.Random(seed)
+    made = ("".join(rng.choice(letters) for _ in range(rng.randrange(1, 8))) for _ in range(n))
+    return {w: rng.choice([1, 1, 2, 5, 5, 30, 200, 1000]) for w in made}
+
+
+@pytest.mark.parametrize("letters", ["ab", "aé日", "abcdefgh"])
+def test_runs_ties_and_chains(spark, letters):
+    """Words of few letters: runs of one letter, equal counts, and chains of forms."""
+    counts = random_counts(letters, 700, len(letters))
+    frame = table(spark, [(w, n, 0) for w, n in counts.items()], "word string, n long, root int").repartition(5)
+    found = as_rows(spelling_variants(frame, min_length=1, min_count=1, factor=2), *COLUMNS)
+    expected = variants_by_brute_force(counts, 1, 2)
+    assert len(found) == len(expected) and set(found) == expected
+    chains = {w: form for w, _, _, form, _, _ in found}
+    assert any(chains.get(chains.get(w)) for w in chains)
+
+
+def test_counts_of_nulls_and_repeats(spark):
+    rows = [("street", 3), ("street", 4), (None, 9), ("streex", 5), ("s\x00reetx", 50), ("streets", None), ("short", 99)]
+    frame = table(spark, rows, "w string, c int")
+    found = as_rows(spelling_variants(frame, word_column="w", count_column="c"), *COLUMNS)
+    assert sorted(found) == [("street", 7, 1, None, None, "street"), ("streex", 5, 1, None, None, "streex")]
+    with pytest.raises(ValueError):
+        spelling_variants(frame, factor=1, word_column="w", count_column="c")
+
+
+def test_rotations_grow_with_letters_and_no_pair_is_met_twice(spark):
+    counts = random_counts("abc", 400, 4)
+    words = table(spark, list(counts.items()), "word string, n long")
+    assert rotations(words).count() == sum(2 * len(w) + 1 for w in counts)
+    found = {w: n for w, n in as_rows(neighbours(words), "word", "n_near")}
+    assert found == {w: k for w in counts if (k := sum(are_near(w, v) for v in counts))}
