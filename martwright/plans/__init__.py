@@ -1,5 +1,6 @@
 from .cleanse import cleanse_sales
 from .landing import land_sales, prepare_population
+from .ledger import current_tables
 from .marts import (
     SalesRoles,
     category_mart,
@@ -19,6 +20,7 @@ __all__ = [
     "category_mart",
     "category_totals",
     "cleanse_sales",
+    "current_tables",
     "full_refresh",
     "land_sales",
     "measures",

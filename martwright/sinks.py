@@ -1,17 +1,31 @@
 """Writers. Each replaces its target as a whole."""
 
+import json
 import math
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .functions import month_of
 from .presets import CLUSTER_COLUMNS, MONTH_COLUMN
-from .sources import read_parquet
+from .sources import read_parquet, read_table
 
 # Sales rows of about 100 bytes, compressed: files of 100 MB.
 ROWS_PER_FILE = 1_000_000
+# Files of full size that a task writes, in expectation, on a cluster too small for one task each.
+FILES_PER_TASK = 4
+# Keys that decide where large months are cut.
+SKETCH_KEYS = 100_000
+# The view that says which of two sets of files a database shows.
+POINTER = "published_tables"
+
+
+def fresh_name(label: str) -> str:
+    """A column name that no caller's table has."""
+    return f"{label}_{uuid.uuid4().hex}"
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -33,31 +47,146 @@ def write_by_month(
     month_column: str = MONTH_COLUMN,
     last_keys: Sequence[str] = ("invoice_item_number",),
     rows_per_file: int = ROWS_PER_FILE,
-    rows: int | None = None,
+    tasks: int | None = None,
 ) -> None:
     """Parquet partitioned by month and clustered by ``cluster_columns`` across a month's files.
 
-    Rows are range-partitioned by month, cluster columns and ``last_keys``, into as many ranges as
-    ``rows_per_file`` asks for, and sorted alike inside each file. So a value of the first cluster
-    column lies in a few neighbouring files of its month, and the others' statistics skip them. A
-    month smaller than a file is one file, or two at the border of a range; a larger one is several.
-    ``last_keys`` should be nearly unique: they let a range end inside a frequent county and
-    category, so that no value is too large for one task. The rows are sampled first, which computes
-    their keys once more, and counted unless the caller gives ``rows``, their number or a bound of it:
-    pass a stored table, or one that is cheap to compute.
+    A month of up to ``rows_per_file`` rows is one file. A larger one is cut into ranges of its cluster
+    columns and ``last_keys`` of about that size, so a value of the first cluster column lies in few
+    neighbouring files of its month, and the others' statistics skip them; each file is sorted alike.
+    ``last_keys`` should be nearly unique: they let a range end inside a frequent county and category.
+
+    How many tasks write is another matter: neighbouring files share a task, and ``tasks`` (default: as many
+    as the cluster runs at once, and as many more as keep a task at a few files) only says how they are
+    dealt. The layout is decided from the number of rows of each month and, for months that are cut, from
+    a sample of at most about ``SKETCH_KEYS`` of their keys: two passes that read no other columns. Rows
+    that are equal in all keys stay together, and more of them than a file should hold are several files.
     """
     layout = df.withColumn(month_column, month_of(F.col(time_column)))
-    order = [month_column, *cluster_columns, *last_keys]
-    ranges = max(1, math.ceil((df.count() if rows is None else rows) / rows_per_file))
+    keys = [*cluster_columns, *last_keys]
+    pieces = _pieces(layout, month_column, keys, rows_per_file)
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    total = sum(rows for _, _, sizes in pieces for rows in sizes)
+    files = sum(len(sizes) for _, _, sizes in pieces)
+    most = tasks or max(parallel, math.ceil(total / (FILES_PER_TASK * rows_per_file)))
+    dealt, count = _dealt(pieces, total, max(1, min(most, files)))
+    order = [month_column, *keys]
+    target = fresh_name("task")
     (
-        layout.repartitionByRange(ranges, *order)
+        _placed(layout, month_column, keys, dealt, target)
+        .repartitionById(count, F.col(target))
+        .drop(target)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
+        # Ranges that share a task and a month are one run of rows; what a sample missed is not cut.
+        .option("maxRecordsPerFile", math.ceil(1.5 * rows_per_file))
         .partitionBy(month_column)
         .parquet(path)
     )
 
 
+# A month, the keys that its pieces but the first begin with, and the pieces' rows.
+Piece = tuple[object, list[tuple], list[float]]
+
+
+def _pieces(layout: DataFrame, month: str, keys: Sequence[str], rows_per_file: int) -> list[Piece]:
+    """The files every month should have, in order."""
+    # One row per month.
+    found = layout.groupBy(month).agg(F.count(F.lit(1)).alias("n")).orderBy(month).collect()
+    counts = [(row[0], row[1]) for row in found]
+    large = {value: n for value, n in counts if n > rows_per_file}
+    samples: dict[object, list[tuple]] = {value: [] for value in large}
+    if large and keys:
+        is_large = F.col(month).isin([v for v in large if v is not None])
+        if None in large:
+            is_large = is_large | F.col(month).isNull()
+        share = min(1.0, SKETCH_KEYS / sum(large.values()))
+        sketch = layout.filter(is_large).select(month, *keys)
+        if share < 1:
+            sketch = sketch.sample(share, seed=1)
+        for row in sketch.orderBy(month, *keys).collect():
+            samples[row[0]].append(tuple(row[1:]))
+    result = []
+    for value, n in counts:
+        own = samples.get(value, [])
+        first_at: dict[tuple, int] = {}
+        for i, key in enumerate(own):
+            first_at.setdefault(key, i)
+        # A range that a handful of samples bounds would be of any size.
+        wanted = min(math.ceil(n / rows_per_file), max(1, len(own) if len(own) == n else len(own) // 16))
+        starts = []
+        for i in range(1, wanted):
+            start = own[i * len(own) // wanted]
+            if start != own[0] and (not starts or start != starts[-1]):
+                starts.append(start)
+        at = [0, *(first_at[start] for start in starts), len(own)] if starts else [0, 1]
+        result.append((value, starts, [n * (b - a) / at[-1] for a, b in zip(at, at[1:])]))
+    return result
+
+
+def _dealt(pieces: list[Piece], total: float, tasks: int) -> tuple[list[tuple], int]:
+    """Each month with its pieces' first keys and tasks. Neighbouring pieces go to one task up to its
+    share of all rows; tasks have the numbers from 0 without gaps."""
+    before, last, number, dealt = 0.0, None, -1, []
+    for value, starts, sizes in pieces:
+        own = []
+        for size in sizes:
+            # The middle of a piece decides, so that a large one does not drag others along.
+            turn = int((before + size / 2) * tasks / total)
+            if turn != last:
+                last, number = turn, number + 1
+            own.append(number)
+            before += size
+        dealt.append((value, starts, own))
+    return dealt, max(1, number + 1)
+
+
+def _placed(
+    layout: DataFrame, month: str, keys: Sequence[str], dealt: list[tuple], target: str
+) -> DataFrame:
+    """Add the number of the task that writes a row. The table of months that is broadcast has one row
+    each and no more keys than the sketch."""
+    if not dealt:
+        return layout.withColumn(target, F.lit(0))
+    value, starts, tasks = (fresh_name(n) for n in ("month", "starts", "tasks"))
+    kinds = {f.name: f.dataType for f in layout.schema.fields}
+    key = T.StructType([T.StructField(f"k{i}", kinds[name]) for i, name in enumerate(keys)])
+    schema = T.StructType(
+        [
+            T.StructField(value, kinds[month]),
+            T.StructField(starts, T.ArrayType(key)),
+            T.StructField(tasks, T.ArrayType(T.IntegerType())),
+        ]
+    )
+    months = F.broadcast(layout.sparkSession.createDataFrame(dealt, schema))
+    joined = layout.join(months, F.col(month).eqNullSafe(F.col(value)))
+    if any(firsts for _, firsts, _ in dealt):
+        own = F.struct(*(F.col(name).alias(f"k{i}") for i, name in enumerate(keys)))
+        piece = _number_at_most(F.col(starts), own, max(len(firsts) for _, firsts, _ in dealt))
+    else:
+        piece = F.lit(0)
+    task = F.element_at(F.col(tasks), piece + 1)
+    return joined.withColumn(target, task).drop(value, starts, tasks)
+
+
+def _number_at_most(ascending: Column, own: Column, most: int) -> Column:
+    """How many elements of an ascending array are at most ``own``, by bisection."""
+    steps = F.sequence(F.lit(1), F.lit(most.bit_length()))
+
+    def halve(bounds: Column, _: Column) -> Column:
+        middle = F.floor((bounds["low"] + bounds["high"]) / 2).cast("int")
+        at_most = F.get(ascending, middle) <= own
+        return F.when(bounds["low"] >= bounds["high"], bounds).otherwise(
+            F.struct(
+                F.when(at_most, middle + 1).otherwise(bounds["low"]).alias("low"),
+                F.when(at_most, bounds["high"]).otherwise(middle).alias("high"),
+            )
+        )
+
+    bounds = F.struct(F.lit(0).alias("low"), F.size(ascending).alias("high"))
+    return F.aggregate(steps, bounds, halve, lambda found: found["low"])
+
+
 def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
     """Create or replace a Parquet table in the session catalog.
 
@@ -73,8 +202,93 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
 def publish_view(spark: SparkSession, name: str, path: str) -> None:
     """Point a catalog name at finished Parquet files. The switch is one catalog change: a
     reader sees the old files or the new ones, and nothing is copied."""
-    quoted = path.replace("`", "``")
     spark.sql(
-        f"CREATE OR REPLACE VIEW IDENTIFIER(:name) AS SELECT * FROM parquet.`{quoted}`",
+        f"CREATE OR REPLACE VIEW IDENTIFIER(:name) AS SELECT * FROM {_files(path)}",
         args={"name": name},
     )
+
+
+def publish_views(spark: SparkSession, database: str, paths: dict[str, str], pointer: str = POINTER) -> None:
+    """Point several names of a database at finished Parquet files, all of them in one step.
+
+    The names are views over two sets of files, the published and the next one, and show the set that
+    a further view, ``pointer``, names. First all of them get the next set beside the one they show,
+    which changes nothing for readers; then the pointer is replaced, which is one catalog change. Dying
+    anywhere leaves all names on the old files or all on the new ones, and it can be repeated. The
+    choice is a constant when a query is planned: a reader scans one set. Old files have to stay until
+    the names are published again or ``settle_views`` is called.
+
+    A table keeps its columns from one set to the next; other columns are refused before any change.
+    Names that were single views before become empty until the step, once. One publisher at a time.
+    """
+    now = published(spark, database, pointer)
+    turn = 0
+    if now:
+        turn = now["turn"] + 1
+        for name, path in paths.items():
+            if name in now["paths"]:
+                new, old = (read_parquet(spark, p).schema.names for p in (path, now["paths"][name]))
+                if new != old:
+                    raise ValueError(f"{name} has the columns {new}; the published ones are {old}")
+    else:
+        _point(spark, database, pointer, {"turn": -1, "paths": {}})
+        turn = 0
+    for name, path in paths.items():
+        sets = [(turn, path)]
+        if now and name in now["paths"]:
+            sets.append((now["turn"], now["paths"][name]))
+        _show(spark, database, pointer, name, sets)
+    # Names that this set does not have keep their files.
+    kept = {**(now["paths"] if now else {}), **paths}
+    for name in kept.keys() - paths.keys():
+        _show(spark, database, pointer, name, [(turn, kept[name]), (now["turn"], kept[name])])
+    _point(spark, database, pointer, {"turn": turn, "paths": kept})
+
+
+def settle_views(spark: SparkSession, database: str, pointer: str = POINTER) -> None:
+    """Let the published names forget the set before, so that its files may go."""
+    now = published(spark, database, pointer)
+    for name, path in (now["paths"] if now else {}).items():
+        _show(spark, database, pointer, name, [(now["turn"], path)])
+
+
+def published(spark: SparkSession, database: str, pointer: str = POINTER) -> dict | None:
+    """``turn`` and ``paths`` of what a database shows; None if nothing was published yet."""
+    if not spark.catalog.tableExists(f"{_quoted(database)}.{_quoted(pointer)}"):
+        return None
+    found = json.loads(read_table(spark, f"{_quoted(database)}.{_quoted(pointer)}").first()["paths"])
+    return found if found["turn"] >= 0 else None
+
+
+def _point(spark: SparkSession, database: str, pointer: str, to: dict) -> None:
+    spark.sql(
+        "CREATE OR REPLACE VIEW IDENTIFIER(:name) AS "
+        f"SELECT {to['turn']} AS turn, {_literal(json.dumps(to))} AS paths",
+        args={"name": f"{_quoted(database)}.{_quoted(pointer)}"},
+    )
+
+
+def _show(
+    spark: SparkSession, database: str, pointer: str, name: str, sets: list[tuple[int, str]]
+) -> None:
+    columns = ", ".join(map(_quoted, read_parquet(spark, sets[0][1]).schema.names))
+    chosen = f"(SELECT turn FROM {_quoted(database)}.{_quoted(pointer)})"
+    body = " UNION ALL ".join(
+        f"SELECT {columns} FROM {_files(path)} WHERE {chosen} = {turn}" for turn, path in sets
+    )
+    spark.sql(
+        f"CREATE OR REPLACE VIEW IDENTIFIER(:name) AS {body}",
+        args={"name": f"{_quoted(database)}.{_quoted(name)}"},
+    )
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _files(path: str) -> str:
+    return f"parquet.{_quoted(path)}"

@@ -95,6 +95,69 @@ def test_a_hot_county_is_several_files_of_similar_size(spark, tmp_path):
     assert max(sizes) <= 2 * (sum(sizes) / len(sizes))
 
 
+def writers(path):
+    """Tasks that wrote files, by the names the files have."""
+    return {file.name.split("-")[1] for file in Path(path).rglob("part-*.parquet")}
+
+
+def test_tasks_do_not_depend_on_the_size_of_files(spark, tmp_path):
+    df = facts(spark, 60_000).repartition(4)
+    path = str(tmp_path / "small")
+    write_by_month(df, path, last_keys=["id"])
+    # One month holds a third of the rows and is one file; the others have the rest of the cores.
+    assert len(writers(path)) >= 6
+    assert all(len(files(path, folder.name.removeprefix("sale_month="))) == 1 for folder in Path(path).glob("sale_month=*"))
+    sizes = {}
+    for tasks in (1, 5, 24, 1000):
+        path = str(tmp_path / f"{tasks}")
+        write_by_month(df, path, last_keys=["id"], rows_per_file=2500, tasks=tasks)
+        assert len(writers(path)) <= tasks
+        sizes[tasks] = [pq.ParquetFile(f).metadata.num_rows for f in Path(path).rglob("part-*.parquet")]
+        assert sum(sizes[tasks]) == 60_000 and max(sizes[tasks]) <= 3750
+    assert len(writers(str(tmp_path / "1000"))) >= 24
+    assert max(map(len, sizes.values())) <= min(map(len, sizes.values())) + 4
+
+
+def test_months_are_cut_by_a_sample_of_their_keys(spark, tmp_path, monkeypatch):
+    from martwright import sinks
+
+    monkeypatch.setattr(sinks, "SKETCH_KEYS", 4000)
+    path = str(tmp_path / "fact")
+    odd = F.when(F.col("id") % 50 != 0, F.format_string("county %03d", F.col("id") * 7 % 100))
+    df = one_month(spark, odd).withColumn("sale_date", F.when(F.col("id") % 2 == 0, F.col("sale_date")))
+    write_by_month(df.repartition(16), path, last_keys=["id"], rows_per_file=3200)
+    back = spark.read.parquet(path)
+    assert back.drop("sale_month").exceptAll(df).count() == 0 and back.count() == 64_000
+    for month in ("2012-01-01", "__HIVE_DEFAULT_PARTITION__"):
+        held = counties_by_file(path, month)
+        assert len(held) >= 9 and max(map(len, held)) <= 4800 and len(held) <= 14
+        for name in {c for counties in held for c in counties}:
+            assert sum(name in counties for counties in held) <= 3
+
+
+def test_equal_keys_stay_together_and_an_empty_table_is_written(spark, tmp_path):
+    df = one_month(spark, F.lit("c"), 5000).select("sale_date", "county", F.lit("x").alias("id"))
+    path = str(tmp_path / "equal")
+    write_by_month(df, path, cluster_columns=["county"], last_keys=["id"], rows_per_file=1000)
+    assert len(writers(path)) == 1 and spark.read.parquet(path).count() == 5000
+    write_by_month(df, path, cluster_columns=[], last_keys=[], rows_per_file=1000)
+    assert spark.read.parquet(path).count() == 5000
+    write_by_month(df.limit(0), path, cluster_columns=["county"], last_keys=["id"])
+    assert not list(Path(path).rglob("part-*.parquet")) or spark.read.parquet(path).count() == 0
+
+
+def test_the_layout_reads_keys_only(spark, tmp_path, monkeypatch):
+    """Neither pass before the writing one computes another column."""
+    from martwright import sinks
+
+    df = one_month(spark, F.lit("c"), 6000).withColumn(
+        "costly", F.when(F.col("id") >= 0, F.raise_error(F.lit("computed"))).cast("string")
+    )
+    layout = df.withColumn("sale_month", F.trunc("sale_date", "MM"))
+    pieces = sinks._pieces(layout, "sale_month", ["county", "id"], 1000)
+    assert [len(sizes) for _, _, sizes in pieces] == [6]
+
+
 def test_missing_dates_are_kept(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, datetime.datetime(2012, 1, 5))], "id int, sale_date timestamp_ntz")
     path = str(tmp_path / "fact")
