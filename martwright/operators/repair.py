@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,8 +54,9 @@ def _apply_rules(
     texts = [(*key, new) for key, new in rules]
     if any(not isinstance(text, str) for row in texts for text in row):
         raise ValueError("a rule needs a text for every key and a new value")
-    names = ", ".join(f"c{i} string" for i in range(len(keys) + 1))
-    table = df.sparkSession.createDataFrame(texts, names)
+    columns = {f"c{i}": pa.array(column, pa.string()) for i, column in enumerate(zip(*texts))}
+    # From Arrow it is a relation that the planner holds: broadcasting it starts no job.
+    table = df.sparkSession.createDataFrame(pa.table(columns))
     size = sum(len(text.encode()) for row in texts for text in row)
     return _join_rules(df, keys, target, table, _may_broadcast(len(texts), size))
 

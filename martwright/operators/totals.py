@@ -5,15 +5,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sums import exact_sums
+
 
 def rounded_totals(
     df: DataFrame, keys: Sequence[str | Column], sums: Mapping[str, str | Column], digits: int = 0
 ) -> DataFrame:
-    """Sum per group; rounding comes last and halves go away from zero."""
-    totals = [
-        F.round(F.sum(value).cast("double"), digits).alias(name) for name, value in sums.items()
-    ]
-    return df.groupBy(*keys).agg(*totals)
+    """Sum per group, the same for every order of the rows; rounding comes last and halves go away
+    from zero."""
+    totals = exact_sums(df, keys, sums)
+    return totals.withColumns({name: F.round(F.col(f"`{name}`"), digits) for name in sums})
 
 
 def population_by_region(

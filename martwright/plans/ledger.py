@@ -84,9 +84,12 @@ class Ledger:
     def _is_mine(self) -> bool:
         return _lease(self.spark, self.folder)[0] == self.number
 
-    def renew(self) -> None:
+    def check(self) -> None:
         if not self._is_mine():
             raise LostLease(f"another refresh works in {self.folder}")
+
+    def renew(self) -> None:
+        self.check()
         replace_text(self.spark, f"{self.folder}/{LEASE}{self.number}", _until(self.seconds))
 
     def _renew_until_stopped(self) -> None:
@@ -101,11 +104,11 @@ class Ledger:
 
     def done(self, table: str) -> None:
         """Mark a table as finished. Whoever lost the lease meanwhile must not."""
-        self.renew()
+        self.check()
         replace_text(self.spark, f"{self.folder}/_done-{table}", json.dumps({"at": time.time()}))
 
     def finish(self) -> None:
-        self.renew()
+        self.check()
         replace_text(self.spark, f"{self.folder}/{FINISHED}", json.dumps({"at": time.time()}))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import year_of
 from ..operators import (
     add_population,
+    exact_sums,
     population_by_region,
     rounded_totals,
     top_per_group,
@@ -54,9 +55,7 @@ def measures(
 def summarise(rows: DataFrame) -> DataFrame:
     """One row per county, category and year: the only pass over the sales table that the
     three marts need."""
-    return rows.groupBy(REGION, CATEGORY, YEAR).agg(
-        F.sum(LITERS).alias(LITERS), F.sum(DOLLARS).alias(DOLLARS)
-    )
+    return exact_sums(rows, [REGION, CATEGORY, YEAR], {LITERS: LITERS, DOLLARS: DOLLARS})
 
 
 def _in_years(begin: int, end: int):
@@ -98,7 +97,7 @@ def top_categories(rows: DataFrame, n: int = 1, rank_column: str | None = None)
     """The first ``n`` categories of every county over *all* years, by unrounded liters, most
     first, then by category name so that ties have one answer."""
     order = [F.desc_nulls_last(_known(LITERS)), F.asc_nulls_first(CATEGORY)]
-    sold = rows.groupBy(REGION, CATEGORY).agg(F.sum(LITERS).alias(LITERS))
+    sold = exact_sums(rows, [REGION, CATEGORY], {LITERS: LITERS})
     return top_per_group(sold, [REGION], order, n, rank_column)
 
 
@@ -122,23 +121,28 @@ def region_mart(
     if zero_population not in ("raise", "null"):
         raise ValueError("zero_population is 'raise' or 'null'")
     in_years = _in_years(begin, end)
-    by_category = rows.groupBy(REGION, CATEGORY).agg(
-        F.sum(LITERS).alias("all_liters"),
-        F.sum(F.when(in_years, F.col(LITERS))).alias("liters"),
-        F.sum(F.when(in_years, F.col(DOLLARS))).alias("dollars"),
+    by_category = exact_sums(
+        rows,
+        [REGION, CATEGORY],
+        {
+            "all_liters": LITERS,
+            "liters": F.when(in_years, F.col(LITERS)),
+            "dollars": F.when(in_years, F.col(DOLLARS)),
+        },
         F.bool_or(in_years).alias("sold_in_years"),
     )
     sold = _known("all_liters")
     most_first = F.struct(sold.isNull(), -sold, F.col(CATEGORY))
     by_region = (
-        by_category.groupBy(REGION)
-        .agg(
-            F.round(F.sum("liters")).alias("total_sold_liters"),
-            F.round(F.sum("dollars")).alias("total_sale_dollars"),
+        exact_sums(
+            by_category,
+            [REGION],
+            {"total_sold_liters": "liters", "total_sale_dollars": "dollars"},
             F.bool_or("sold_in_years").alias("sold_in_years"),
             F.min_by(CATEGORY, most_first).alias(CATEGORY),
         )
         .filter("sold_in_years")
+        .withColumns({name: F.round(name) for name in ("total_sold_liters", "total_sale_dollars")})
     )
     return with_ratio(
         add_population(by_region, population_by_region(population, begin, end), REGION),

@@ -76,7 +76,7 @@ def full_refresh(
 
         def table(name: str, write: Callable[[str], object]) -> DataFrame:
             if not ledger.is_done(name):
-                ledger.renew()
+                ledger.check()
                 write(paths[name])
                 ledger.done(name)
             return read_parquet(spark, paths[name])

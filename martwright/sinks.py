@@ -271,10 +271,9 @@ def _point(spark: SparkSession, database: str, pointer: str, to: dict) -> None:
 def _show(
     spark: SparkSession, database: str, pointer: str, name: str, sets: list[tuple[int, str]]
 ) -> None:
-    columns = ", ".join(map(_quoted, read_parquet(spark, sets[0][1]).schema.names))
     chosen = f"(SELECT turn FROM {_quoted(database)}.{_quoted(pointer)})"
     body = " UNION ALL ".join(
-        f"SELECT {columns} FROM {_files(path)} WHERE {chosen} = {turn}" for turn, path in sets
+        f"SELECT * FROM {_files(path)} WHERE {chosen} = {turn}" for turn, path in sets
     )
     spark.sql(
         f"CREATE OR REPLACE VIEW IDENTIFIER(:name) AS {body}",
