@@ -1,11 +1,11 @@
 """Sums of doubles that no order of addition changes.
 
 Adding doubles rounds at every step, so a distributed sum depends on how rows met. Here every value is
-cut into whole numbers of fixed weights first: digits of ``BITS`` bits between 2^56 and 2^-82. Whole
+cut into whole numbers of fixed weights first: six digits of 23 bits, from 2^56 down to 2^-82. Whole
 numbers add up exactly in any order and combine before the shuffle like any other sum; only the total
 is made a double again, once per group.
 
-A value of at least 2^-29 is represented in full. Of smaller ones what is below 2^-82 is cut off, which
+A value of at least 2^-29 is represented in full. Of smaller ones what is below 2^-83 is rounded, which
 is no matter of order either. Values of 2^56 and more, infinities and NaN are added as doubles. A group
 may have 2^40 rows.
 """
@@ -17,11 +17,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 23
-DIGITS = 6
-# The weight of the first digit is 2^33, so that it holds values below 2^56.
-FIRST_WEIGHT = 2.0**33
-BASE = 2.0**BITS
-TOO_LARGE = FIRST_WEIGHT * BASE
+# Powers of 2 that the digits are multiples of.
+WEIGHTS = tuple(33 - BITS * k for k in range(6))
+TOO_LARGE = 2.0 ** (WEIGHTS[0] + BITS)
 
 
 def exact_sums(
@@ -30,74 +28,44 @@ def exact_sums(
     """The keys, then a double for each of ``sums`` (null where a group has no value), then ``others``:
     further aggregates of the same groups, with aliases. They may use any column of ``df``."""
     mark = uuid.uuid4().hex[:8]
-    rests = {name: f"rest {mark} {name}" for name in sums}
+    values = [f"value_{mark}_{i}" for i in range(len(sums))]
+    columns = [F.col(c) if isinstance(c, str) else c for c in sums.values()]
+    rows = df.withColumns({v: c.cast("double") for v, c in zip(values, columns)})
+    digits = {name: rule for v in values for name, rule in _digits(v).items()}
+    cut = rows.withColumns({name: F.expr(rule) for name, rule in digits.items()})
+    groups = cut.groupBy(*keys).agg(*(F.expr(f"sum({name}) AS {name}") for name in digits), *others)
+    others_at = len(groups.columns) - len(others)
+    return groups.select(
+        *_named(groups.columns[: len(keys)]),
+        *(F.expr(_total(v)).alias(name) for name, v in zip(sums, values)),
+        *_named(groups.columns[others_at:]),
+    )
 
-    def digit(name: str, k: int) -> str:
-        return f"digit {mark} {k} {name}"
 
-    columns = {
-        rests[name]: (F.col(c) if isinstance(c, str) else c).cast("double") for name, c in sums.items()
-    }
-    rows = df.withColumns(columns)
-    # Each step takes the whole part of what is left and leaves the rest, in units of the next digit.
-    # The steps stay apart in the plan, since each uses the one before twice.
-    for name in sums:
-        value = F.col(rests[name])
-        small = F.abs(value) < TOO_LARGE
-        rows = rows.withColumns(
-            {
-                rests[name]: F.coalesce(F.when(small, value / FIRST_WEIGHT), F.lit(0.0)),
-                f"other {mark} {name}": F.when(~small, value),
-                f"known {mark} {name}": value.isNotNull(),
-            }
-        )
-    for k in range(DIGITS):
-        step = {}
-        for name in sums:
-            rest = F.col(rests[name])
-            whole = rest.cast("long")
-            step[digit(name, k)] = whole
-            step[rests[name]] = (rest - whole.cast("double")) * BASE
-        rows = rows.withColumns(step)
+# Rules as SQL text: they are long, and text takes one call to the JVM instead of one per operator.
+def _digits(value: str) -> dict[str, str]:
+    rules = {f"{value}_large": f"IF(abs({value}) >= {TOO_LARGE!r}D, {value}, NULL)"}
+    before = ""
+    for k, weight in enumerate(WEIGHTS):
+        # Whole multiples of this weight, less those that the digits before hold. Both are whole and
+        # near each other, so the difference is exact.
+        whole = f"rint({value} * {2.0**-weight!r}D)"
+        rules[f"{value}_{k}"] = f"IF(abs({value}) < {TOO_LARGE!r}D, CAST({whole}{before} AS BIGINT), NULL)"
+        before = f" - {whole} * {2.0**BITS!r}D"
+    return rules
 
-    parts = []
-    for name in sums:
-        parts += [F.sum(digit(name, k)).alias(digit(name, k)) for k in range(DIGITS)]
-        parts.append(F.sum(f"other {mark} {name}").alias(f"other {mark} {name}"))
-        parts.append(F.bool_or(f"known {mark} {name}").alias(f"known {mark} {name}"))
-    groups = rows.groupBy(*keys).agg(*parts, *others)
-    group_columns = groups.columns[: len(keys)]
-    other_columns = groups.columns[len(groups.columns) - len(others) :]
 
-    # A negative total is the opposite of a positive one, whose digits after carrying lose nothing.
-    signs = {}
-    for name in sums:
-        carried = _carried([F.col(digit(name, k)) for k in range(DIGITS)])
-        signs[f"sign {mark} {name}"] = F.when(carried[0] < 0, F.lit(-1)).otherwise(F.lit(1))
-    signed = groups.withColumns(signs)
-    totals = []
-    for name in sums:
-        sign = F.col(f"sign {mark} {name}")
-        digits = _carried([F.col(digit(name, k)) * sign for k in range(DIGITS)])
-        total = digits[-1].cast("double")
-        for higher in reversed(digits[:-1]):
-            total = total / BASE + higher.cast("double")
-        total = total * FIRST_WEIGHT * sign
-        other = F.col(f"other {mark} {name}")
-        total = F.when(other.isNull(), total).otherwise(total + other)
-        totals.append(F.when(F.col(f"known {mark} {name}"), total).alias(name))
-    return signed.select(*_named(group_columns), *totals, *_named(other_columns))
+def _total(value: str) -> str:
+    """The sum as a double. Three digits are one number of up to 38 decimals."""
 
+    def together(first: int) -> str:
+        high, middle, low = (f"CAST({value}_{k} AS DECIMAL(19, 0))" for k in range(first, first + 3))
+        number = f"({high} * {2**BITS} + {middle}) * {2**BITS} + {low}"
+        return f"CAST({number} AS DOUBLE) * {2.0 ** WEIGHTS[first + 2]!r}D"
 
-def _named(columns: Sequence[str]) -> list[Column]:
-    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+    total = f"({together(0)} + {together(3)})"
+    return f"coalesce({total} + {value}_large, {total}, {value}_large)"
 
 
-def _carried(digits: list[Column]) -> list[Column]:
-    """The same number with all digits but the first between 0 and the base."""
-    result, carry = [], F.lit(0)
-    for digit in reversed(digits[1:]):
-        full = digit + carry
-        result.append(full.bitwiseAND(F.lit(int(BASE) - 1)))
-        carry = F.shiftright(full, BITS)
-    return [digits[0] + carry, *reversed(result)]
+def _named(columns: Sequence[str]) -> list[Column]:
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
