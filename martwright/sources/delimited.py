@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
@@ -35,13 +36,14 @@ def read_text_csv(
 
 def _by_header(spark: SparkSession, reader: DataFrameReader, path: str | list[str]) -> DataFrame:
     """Files by the names in their own headers, in the order of the first file. Files with the same
-    header are one scan; reading a header is one small job per file."""
-    listed = spark.read.format("binaryFile").load(path).select("path").orderBy("path")
+    header are one scan. One job takes the census of all headers, whatever the number of files; after
+    it each different header line is read once."""
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for row in listed.toLocalIterator():
-        names = tuple(reader.csv(row["path"]).columns)
-        if names:
-            by_header.setdefault(names, []).append(row["path"])
+    names_of: dict[str, tuple[str, ...]] = {}
+    for file, line in _header_lines(spark, path):
+        if line not in names_of:
+            names_of[line] = tuple(reader.csv(file).columns)
+        by_header.setdefault(names_of[line], []).append(file)
     if not by_header:
         return reader.csv(path)
     first = next(iter(by_header))
@@ -52,6 +54,33 @@ def _by_header(spark: SparkSession, reader: DataFrameReader, path: str | list[st
     return reduce(DataFrame.unionByName, frames)
 
 
+def _header_lines(spark: SparkSession, path: str | list[str]) -> list[tuple[str, str]]:
+    """Each file that has one with its first line that is not blank, by path.
+
+    Lines are numbered as a task reads them, and tasks by where in the file they begin. Per file one
+    row comes back, as long as a header. Only the first lines of a split can be the first of a file, and
+    the minimum combines in the task, so nothing but one row per file and split is shuffled.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(
+            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
+        ).alias("place"),
+        F.col("value"),
+    )
+    first = (
+        lines.filter(F.length(F.trim("value")) > 0)
+        .groupBy("file")
+        .agg(F.min_by("value", "place").alias("header"))
+    )
+    # The path as Hadoop spells it; in metadata it is a URL.
+    return sorted((_unquoted(row["file"]), row["header"]) for row in first.collect())
+
+
+def _unquoted(url: str) -> str:
+    return unquote(url) if "%" in url else url
+
+
 def _text_fields(names: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in names])
 

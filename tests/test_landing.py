@@ -154,6 +154,46 @@ def test_population_files_with_another_order_of_columns(spark, tmp_path):
         prepare_population(spark, str(folder))
 
 
+def jobs_of(spark, act):
+    """Jobs that an action starts."""
+    context, group = spark.sparkContext, f"group {len(str(act))} {id(act)}"
+    context.setJobGroup(group, "counted")
+    try:
+        act()
+    finally:
+        context._jsc.sc().clearJobGroup()
+    return len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def test_one_census_of_many_files(spark, tmp_path):
+    """Two spellings of the header, blank lines before it, empty files, odd names: a constant number
+    of jobs reads all headers."""
+    counts = []
+    for n in (80, 200):  # from 33 files of a header on, listing them is a job too
+        folder = tmp_path / f"{n} files, 100%é"
+        folder.mkdir()
+        for i in range(n):
+            odd = i % 2
+            header = "Population,Year,Primary Point,FIPS,County" if odd else POPULATION[0]
+            line = f"{i},July 01 2013,,{i},C{i} County" if odd else f"{i},C{i} County,July 01 2013,{i},"
+            blank = "\n  \n" if i % 3 == 0 else ""
+            (folder / f"part {i:03d}, 50%.csv").write_text(f"{blank}{header}\n{line}\n")
+        (folder / "empty.csv").write_text("")
+        (folder / "blank.csv").write_text("\n \n")
+        found = []
+        counts.append(jobs_of(spark, lambda folder=folder, found=found: found.append(prepare_population(spark, str(folder)))))
+        expected = [(i, f"C{i}", 2013, i, "") for i in range(n)]
+        assert sorted_rows(found[0]) == sorted(expected, key=str)
+    assert counts[0] == counts[1] <= 12
+
+
+def test_a_header_of_a_file_in_many_splits(spark, conf, tmp_path):
+    conf("spark.sql.files.maxPartitionBytes", "64")
+    path = write(tmp_path, *POPULATION)
+    assert prepare_population(spark, [path]).count() == 4
+    assert prepare_population(spark, path).filter("fips = 19007").first().county == "Two"
+
+
 def test_population_needs_its_headers(spark, tmp_path):
     with pytest.raises(Exception):
         prepare_population(spark, write(tmp_path, "a,b,c,d,e", "1,A,July 01 2012,5,"))

@@ -227,3 +227,23 @@ def test_years_use_the_month_column(spark, tmp_path):
     # A column that only has the name is not taken for the partition column.
     other = table.withColumn("sale_month", F.lit(7))
     assert sorted(r["at"] for r in within_years(other, 2012, 2012, "at").collect()) == days[2:4]
+
+
+def test_more_rows_per_group_than_the_engine_limits(spark, conf, tmp_path):
+    """A hot group of 40,000 rows: equal to row_number, and no task ranks the whole group."""
+    from pyspark.sql import Window
+
+    conf("spark.sql.adaptive.enabled", "false")
+    g = F.when(F.col("id") % 4 > 0, F.lit("hot")).when(F.col("id") % 8 > 0, F.col("id").cast("string"))
+    df = spark.range(53_000, numPartitions=16).select(g.alias("g"), (F.col("id") * 7919 % 53_000).alias("v"), "id")
+    for n in (5000, 60_000):
+        window = Window.partitionBy("g").orderBy(F.desc("v"))
+        expected = df.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= n)
+        found = top_per_group(df, ["g"], [F.desc("v")], n, "rank")
+        assert found.columns == ["g", "v", "id", "rank"]
+        assert found.exceptAll(expected).count() == 0 and found.count() == expected.count()
+        assert top_per_group(df, ["g"], [F.desc("v")], n).columns == ["g", "v", "id"]
+    plan = plan_text(top_per_group(df, ["g"], [F.desc("v")], 5000))
+    assert plan.count("Exchange hashpartitioning(g") == 2 and plan.count("Window ") == 2
+    assert "WindowGroupLimit" in plan_text(top_per_group(df, ["g"], [F.desc("v")], 1000))
+    assert top_per_group(df, ["g"], [F.desc("v")], 1500, parts=4).filter("g = 'hot'").count() == 1500
