@@ -16,7 +16,6 @@ that the bands can see is lost, and a third of all documents that are near copie
 few comparisons each.
 """
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +41,8 @@ SLICE = 1 << 11
 # Bytes of texts that are split and hashed at once, and the tables for it: A-Z in lower case, blanks
 # (space and the controls from tab to carriage return), and a number per byte.
 SLICE_BYTES = 1 << 20
+# Words of more bytes have a hash of their own kind.
+LONG_WORD = 64
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
@@ -70,29 +71,63 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
             yield from _slice_sets(data[offsets[0] : offsets[-1]], offsets - offsets[0], words)
 
 
-def _slice_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
+def _pieces(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Bounds of pieces of texts that cut no word: a long text is hashed piece by piece."""
+    start = 0
+    while start < len(data):
+        end = start + SLICE_BYTES
+        if end < len(data):
+            stop = int(offsets[np.searchsorted(offsets, end)])
+            while end < stop and not (blanks := np.flatnonzero(_BLANK[data[end : min(stop, end + 4096)]])).size:
+                end = min(stop, end + 4096)
+            end = end + int(blanks[0]) if end < stop else stop
+        yield start, min(end, len(data))
+        start = end
+
+
+def _word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some texts begin, and a 64-bit hash of each."""
     filled = ~_BLANK[data]
     starting = filled.copy()
     starting[1:] &= ~filled[:-1]
-    inner = offsets[:-1][offsets[:-1] < len(data)]
+    inner = offsets[offsets < len(data)]
     starting[inner] = filled[inner]
     starts = np.flatnonzero(starting)
     if not len(starts):
-        yield from (np.zeros(0, np.uint64) for _ in offsets[1:])
-        return
-    # A word is a polynomial of its bytes, modulo 2^64, and of its length.
+        return starts, np.zeros(0, np.uint64)
+    # A word is a polynomial of its bytes, modulo 2^64, and of its length. Long words could be made
+    # to share one, whatever the base, and are hashed as a whole.
     number = np.cumsum(starting) - 1
     place = np.arange(len(data)) - starts[np.maximum(number, 0)]
     place[~filled] = 0
-    powers = np.cumprod(np.full(int(place.max()) + 1, _BASE))
+    place = np.minimum(place, LONG_WORD)
+    powers = np.cumprod(np.full(LONG_WORD + 1, _BASE))
     values = _NUMBERS[_LOWER[data]]
     values *= powers[place]
     values[~filled] = 0
     hashes = np.add.reduceat(values, starts)
-    hashes ^= np.add.reduceat(filled, starts, dtype=np.uint64) * _FACTOR
+    lengths = np.add.reduceat(filled, starts, dtype=np.int64)
+    hashes ^= lengths.astype(np.uint64) * _FACTOR
     hashes ^= hashes >> np.uint64(29)
     hashes *= _FACTOR
     hashes ^= hashes >> np.uint64(32)
+    for i in np.flatnonzero(lengths > LONG_WORD):
+        word = _LOWER[data[starts[i] : starts[i] + lengths[i]]]
+        hashes[i] = xxhash.xxh3_64_intdigest(word.tobytes())
+    return starts, hashes
+
+
+def _slice_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[np.ndarray]:
+    parts = []
+    for begin, end in _pieces(data, offsets):
+        own = offsets[(offsets >= begin) & (offsets < end)] - begin
+        starts, hashes = _word_hashes(data[begin:end], own)
+        parts.append((starts + begin, hashes))
+    starts = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
+    if not len(starts):
+        yield from (np.zeros(0, np.uint64) for _ in offsets[1:])
+        return
+    hashes = np.concatenate([p[1] for p in parts])
     # Shingles of one word, then two, and so on; a text takes the longest it has words for.
     bounds = np.searchsorted(starts, offsets)
     counts = np.diff(bounds)
@@ -242,8 +277,10 @@ def near_duplicates(
     signed = keep(texts.mapInArrow(_signatures(shingle_words, bands, rows), SIGNATURES), "signatures")
     usable = signed.filter(F.col("class").isNotNull() & F.col("doc_id").isNotNull())
 
-    classes = usable.groupBy("class").agg(F.min("doc_id").alias("leader"))
-    classes = classes.withColumnRenamed("class", "of")
+    # Aggregates are stored before they are joined with what they come from: only then can the engine
+    # split a frequent key of that join.
+    classes = usable.groupBy(F.col("class").alias("of")).agg(F.min("doc_id").alias("leader"))
+    classes = keep(classes, "classes")
     # Members of a class, and rows that share an id, are linked through their class's leader.
     members = keep(
         usable.select("doc_id", "class", "n_shingles")
@@ -253,7 +290,7 @@ def near_duplicates(
     )
     # A class is represented once, by the leader's signature. Its node is named by the class, since an
     # id with several texts may lead several classes, and it starts in the component of its leader.
-    leaders = (
+    leaders = keep(
         usable.join(classes, (F.col("class") == F.col("of")) & (F.col("doc_id") == F.col("leader")))
         .withColumn("node", F.xxhash64("class"))
         .groupBy("node", "class", "leader")
@@ -261,16 +298,18 @@ def near_duplicates(
             F.first("n_shingles").alias("size"),
             F.first("bands").alias("bands"),
             F.count(F.lit(1)).alias("rows"),
-        )
+        ),
+        "leaders",
     )
     buckets = leaders.select(
         "node", "size", F.col("leader").alias("component"), F.explode("bands").alias("bucket")
     )
-    shared = (
+    shared = keep(
         buckets.groupBy("bucket")
         .agg(F.min("node").alias("low"), F.max("node").alias("high"))
         .filter(F.col("low") < F.col("high"))
-        .select(F.col("bucket").alias("of"))
+        .select(F.col("bucket").alias("of")),
+        "shared",
     )
     crowded = keep(buckets.join(shared, F.col("bucket") == F.col("of")).drop("of"), "buckets")
     owners = leaders.select("node", "class", "leader", "rows")
@@ -402,19 +441,12 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _size_class(size: Column) -> Column:
-    """Sizes that count as one in the keys of prefix buckets: single ones, then steps of half a
-    percent."""
-    wide = 200 + F.floor(F.log(size / 200.0) / math.log(1.005))
-    return F.when(size <= 200, size).otherwise(wide).cast("long")
-
-
 def _prefix_buckets(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Exact buckets of the nodes that are left, in the columns of a state.
 
     With all shingles in one order, rarest first, two sets have nothing in common before their first
-    common shingle, so at most ``shared``, the shingles from there on. A shingle is therefore needed
-    only for partners small enough for that: the key is the shingle and the two size classes.
+    common shingle, so at most ``shared``, the shingles from there on. Only the first shingles of a set,
+    its rarest, can be that, and only those that any partner is small enough for.
     """
     nodes = keep(left.select("node", "size", "component").distinct(), "nodes")
     shingles = keep(
@@ -434,26 +466,13 @@ def _prefix_buckets(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     # The largest partner: 100 c >= percent (n + m - c), with c the shingles from here on.
     most = F.floor(F.col("shared") * ((100 + percent) / percent) + 1e-9) - F.col("size")
     least = F.ceil(F.col("size") * (percent / 100) - 1e-9)
-    own = _size_class(F.col("size"))
     rows = (
         shingles.join(counts, F.col("shingle") == F.col("of"), "left")
         .withColumn("shared", F.col("size") - place + 1)
         # A shingle of one set only takes its place in the order but leads to nothing.
         .filter((100 * F.col("shared") >= percent * F.col("size")) & F.col("holders").isNotNull())
-        .withColumn("least", least)
-        .withColumn("most", most)
-        .filter(F.col("least") <= F.col("most"))
-        .withColumn(
-            "other",
-            F.explode(F.sequence(_size_class(F.col("least")), _size_class(F.col("most")))),
-        )
-        .select(
-            F.xxhash64("shingle", F.least(own, "other"), F.greatest(own, "other")).alias("bucket"),
-            "node",
-            "size",
-            "shared",
-            "component",
-        )
+        .filter(least <= most)
+        .select(F.col("shingle").alias("bucket"), "node", "size", "shared", "component")
     )
     return _open(keep(rows, "state"), percent)
 
@@ -483,7 +502,9 @@ def _open(state: DataFrame, percent: int) -> DataFrame:
         F.col("top_shared")
     )
     sizes = state.groupBy(F.col("bucket").alias("sized")).agg(F.min("size").alias("least_size"))
-    best = best.filter(F.col("next_shared").isNotNull()).join(sizes, F.col("of") == F.col("sized"))
+    best = keep(
+        best.filter(F.col("next_shared").isNotNull()).join(sizes, F.col("of") == F.col("sized")), "best"
+    )
     common = F.least(F.col("shared"), theirs)
     other = F.greatest("least_size", common)
     rows = (
@@ -493,10 +514,11 @@ def _open(state: DataFrame, percent: int) -> DataFrame:
         .select("bucket", "node", "size", "shared", "component", "top")
     )
     rows = keep(rows, "state")
-    apart = (
+    apart = keep(
         rows.groupBy("bucket")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .filter(F.col("low") < F.col("high"))
-        .select(F.col("bucket").alias("of"))
+        .select(F.col("bucket").alias("of")),
+        "apart",
     )
     return keep(rows.join(apart, F.col("bucket") == F.col("of"), "left_semi"), "state")

@@ -6,6 +6,7 @@ import re
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martwright.llm import minhash
@@ -170,3 +171,25 @@ def test_components_of_chains_and_stars(spark):
     expected = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 180)} | {199: 199, 200: 199}
     assert found == expected
     assert connected_components(table(spark, [], "a long, b long")).count() == 0
+
+
+def test_words_of_a_polynomials_weak_kind_differ():
+    """The Thue-Morse word and its complement have one polynomial for every base modulo 2^64."""
+    for n in (65, 1024, 2048, 4096):
+        word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+        other = word.translate(str.maketrans("ab", "ba"))
+        assert minhash.shingle_hashes(word, 3) != minhash.shingle_hashes(other, 3)
+        assert minhash.shingle_hashes(word.upper(), 3) == minhash.shingle_hashes(word, 3)
+
+
+def test_long_texts_are_hashed_piece_by_piece(monkeypatch):
+    rng = random.Random(1)
+    texts = [
+        " ".join("".join(rng.choice("abÄ \n") for _ in range(rng.randrange(9))) for _ in range(rng.randrange(400)))
+        for _ in range(60)
+    ] + ["x" * 5000 + " y z", "", None, " ", "A b C d", "q" * 64, "q" * 65 + " " + "Q" * 65]
+    whole = list(minhash.shingle_sets(pa.array(texts, pa.large_string()), 3))
+    monkeypatch.setattr(minhash, "SLICE_BYTES", 100)
+    cut = list(minhash.shingle_sets(pa.array(texts, pa.large_string()), 3))
+    assert [a.tolist() for a in whole] == [b.tolist() for b in cut]
+    assert [len(a) for a in cut] == [len(shingles(t, 3)) for t in texts]
