@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import fresh, keep
 
 DEPTH = 3
 MIN_DOCUMENTS = 10
@@ -31,7 +31,8 @@ VARIABLE = "<*>"
 TOKEN_BLANKS = str.maketrans("\t\x0b\x0c\r", "    ")
 
 LINES = (
-    "doc_id long, text_key long, line_no int, leaf long, line long, new_leaf boolean, new_line boolean"
+    "doc_id long, text_key long, line_no int, leaf long, line long, new_leaf boolean, new_line boolean, "
+    "new_text boolean"
 )
 PLACES = (
     "leaf long, line long, documents long, leading int, length int, place int, token long, word boolean"
@@ -63,9 +64,9 @@ def text_key(id_column: str, text_column: str) -> Column:
 
 def _parse(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Leaf and hash of every line that has a token. ``new_leaf`` and ``new_line`` mark the first of
-    a document, so that their sums count documents."""
+    a document, so that their sums count documents, and ``new_text`` its first line."""
     for batch in source:
-        ids, keys, numbers, leaves, lines, new_leaves, new_lines = [], [], [], [], [], [], []
+        ids, keys, numbers, leaves, lines, new_leaves, new_lines, new_texts = [], [], [], [], [], [], [], []
         columns = (batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text"))
         for doc_id, key, text in zip(*columns):
             seen_leaves, seen_lines = set(), set()
@@ -81,10 +82,11 @@ def _parse(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lines.append(whole)
                 new_leaves.append(leaf not in seen_leaves)
                 new_lines.append(whole not in seen_lines)
+                new_texts.append(not seen_lines)
                 seen_leaves.add(leaf)
                 seen_lines.add(whole)
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_()]
-        values = (ids, keys, numbers, leaves, lines, new_leaves, new_lines)
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_()]
+        values = (ids, keys, numbers, leaves, lines, new_leaves, new_lines, new_texts)
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, k) for v, k in zip(values, kinds)],
             [part.split()[0] for part in LINES.split(", ")],
@@ -139,12 +141,15 @@ def recurring_lines(
         text_key(id_column, text_column).alias("text_key"),
         F.col(text_column).alias("text"),
     )
-    lines = keep(rows.mapInArrow(_parse, LINES), "lines")
-    leaves = (
+    lines = _once(keep(rows.mapInArrow(_parse, LINES), "lines"))
+    # Aggregates are stored before they are joined with what they come from: only then can the engine
+    # split a frequent key of that join.
+    leaves = keep(
         lines.groupBy("leaf")
         .agg(F.sum(F.col("new_leaf").cast("long")).alias("documents"))
         .filter(F.col("documents") >= min_documents)
-        .select(F.col("leaf").alias("of"))
+        .select(F.col("leaf").alias("of")),
+        "leaves",
     )
     candidates = keep(lines.join(leaves, F.col("leaf") == F.col("of")).drop("of"), "candidates")
 
@@ -169,18 +174,19 @@ def recurring_lines(
         .dropDuplicates(["leaf", "line", "place"]),
         "places",
     )
-    constant = (
+    constant = keep(
         places.groupBy("leaf", "place", "token")
         .agg(F.sum("documents").alias("n"))
         .filter(F.col("n") >= min_documents)
         .select(
             F.col("leaf").alias("c_leaf"), F.col("place").alias("c_place"), F.col("token").alias("c_token")
-        )
+        ),
+        "constants",
     )
     stays = F.col("c_leaf").isNotNull() & (F.col("place") >= 0)
     constants = F.first("leading") + F.sum(F.when(stays, 1).otherwise(0))
     words = F.first("leading") + F.sum(F.when(stays & F.col("word"), 1).otherwise(0))
-    template = (
+    template = keep(
         places.join(
             constant,
             (F.col("leaf") == F.col("c_leaf"))
@@ -198,7 +204,8 @@ def recurring_lines(
         )
         .filter(F.col("constants") >= similarity * F.col("length"))
         .filter(F.col("words") >= WORDS * F.col("length"))
-        .select(F.col("leaf").alias("t_leaf"), F.col("line").alias("t_line"), "template")
+        .select(F.col("leaf").alias("t_leaf"), F.col("line").alias("t_line"), "template"),
+        "templates",
     )
     matched = keep(
         candidates.join(
@@ -209,14 +216,15 @@ def recurring_lines(
     in_documents = matched.groupBy("leaf", "template", "doc_id", "text_key").agg(
         F.min("line_no").alias("line_no")
     )
-    recurring = (
+    recurring = keep(
         in_documents.groupBy("leaf", "template")
         .agg(
             F.count(F.lit(1)).alias("documents"),
             F.min(F.struct("doc_id", "text_key", "line_no")).alias("first"),
         )
         .filter(F.col("documents") >= min_documents)
-        .select(F.col("leaf").alias("r_leaf"), F.col("template").alias("r_template"), "first")
+        .select(F.col("leaf").alias("r_leaf"), F.col("template").alias("r_template"), "first"),
+        "recurring",
     )
     return (
         matched.join(
@@ -229,6 +237,31 @@ def recurring_lines(
     )
 
 
+def _once(lines: DataFrame) -> DataFrame:
+    """The lines of rows that repeat an id and text, once. Only those rows' lines are compared."""
+    own = lines.filter("new_text").groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("rows"))
+    repeated = keep(
+        own.filter("rows > 1").select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key")), "repeated"
+    )
+    if repeated.isEmpty():
+        return lines
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_key") == F.col("of_key"))
+    once = lines.join(repeated, same, "left_semi").distinct()
+    return keep(lines.join(repeated, same, "left_anti").unionByName(once), "lines")
+
+
+def _without(texts: pa.Array, dropped: pa.Array) -> pa.Array:
+    """Texts without the lines of these numbers; null where there are none."""
+    result = []
+    for text, numbers in zip(texts.to_pylist(), dropped.to_pylist()):
+        if text is None or numbers is None:
+            result.append(None)
+            continue
+        gone = set(numbers)
+        result.append("\n".join(line for i, line in enumerate(text.split("\n")) if i not in gone))
+    return pa.array(result, pa.string())
+
+
 def drop_recurring_lines(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -245,31 +278,24 @@ def drop_recurring_lines(
     one document. A document of recurring lines only becomes an empty text. With ``dropped_column``
     the numbers of the dropped lines, from 0, are added.
     """
-    lost = recurring_lines(docs, id_column, text_column, min_documents, similarity).select(
-        F.col("doc_id").alias("__lost_id"),
-        F.col("text_key").alias("__lost_key"),
-        F.col("dropped").alias("__lost"),
+    lost_id, lost_key, lost = fresh("id"), fresh("key"), fresh("lost")
+    found = recurring_lines(docs, id_column, text_column, min_documents, similarity).select(
+        F.col("doc_id").alias(lost_id), F.col("text_key").alias(lost_key), F.col("dropped").alias(lost)
     )
     joined = docs.join(
-        lost,
-        F.col(id_column).cast("long").eqNullSafe(F.col("__lost_id"))
-        & (text_key(id_column, text_column) == F.col("__lost_key")),
+        keep(found, "lost"),
+        F.col(id_column).cast("long").eqNullSafe(F.col(lost_id))
+        & (text_key(id_column, text_column) == F.col(lost_key)),
         "left",
     )
-    left_over = F.array_join(
-        F.filter(
-            F.split(F.col(text_column), "\n"),
-            lambda _, i: ~F.array_contains(F.col("__lost"), i),
-        ),
-        "\n",
-    )
-    text = F.when(F.col("__lost").isNull(), F.col(text_column)).otherwise(left_over)
+    # Only texts that lose lines go to Python.
+    without = F.arrow_udf(_without, "string")
+    left_over = without(F.when(F.col(lost).isNotNull(), F.col(text_column)), F.col(lost))
+    text = F.when(F.col(lost).isNull(), F.col(text_column)).otherwise(left_over)
     result = joined.withColumn(text_column, text)
     own = list(docs.columns)
     if dropped_column:
         empty = F.array().cast("array<int>")
-        result = result.withColumn(
-            dropped_column, F.coalesce(F.array_sort(F.col("__lost")), empty)
-        )
+        result = result.withColumn(dropped_column, F.coalesce(F.array_sort(F.col(lost)), empty))
         own = [c for c in own if c != dropped_column] + [dropped_column]
     return result.select(*own)

@@ -130,13 +130,17 @@ ORACLES = {
         ), constant AS (
             SELECT leaf, place, token FROM fields GROUP BY ALL HAVING sum(documents) >= 10
         ), kept AS (
-            SELECT leaf, tokens, count(*) AS n,
+            SELECT leaf, tokens, count(*) AS n, count(*) FILTER (token <> '<*>') AS n_words,
                    string_agg(place || ' ' || token, chr(10) ORDER BY place) AS template
             FROM fields JOIN constant USING (leaf, place, token) GROUP BY ALL
         ), templates AS (
+            -- Leading fields with a digit are not constant, and half of all places are constant words.
             SELECT leaf, tokens, coalesce(template, '') AS template
             FROM different LEFT JOIN kept USING (leaf, tokens)
-            WHERE coalesce(n, 0) + 3 >= CAST(0.7 AS DOUBLE) * (greatest(len(tokens) - 3, 0) + 3)
+            WHERE coalesce(n, 0) + len(list_filter(tokens[1:3], lambda t: t <> '<*>'))
+                  >= CAST(0.7 AS DOUBLE) * len(tokens)
+              AND coalesce(n_words, 0) + len(list_filter(tokens[1:3], lambda t: t <> '<*>'))
+                  >= CAST(0.5 AS DOUBLE) * len(tokens)
         ), matched AS (
             SELECT doc_id, no, leaf, template FROM placed JOIN templates USING (leaf, tokens)
         ), recurring AS (

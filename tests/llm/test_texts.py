@@ -1,8 +1,10 @@
 """Tokens, packing, length histogram, line templates, quality."""
 
+import time
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from martwright.llm import quality
 from martwright.llm.lengths import length_histogram, quantile_length, suffix_sums, truncated_total
 from martwright.llm.line_templates import drop_recurring_lines, tokens_of
+from martwright.llm.oracle import ORACLES
 from martwright.llm.packing import CAPACITY, class_sizes, cuts, pack
 from martwright.llm.tokens import Encoder, default_path
 
@@ -124,7 +127,7 @@ def test_length_histogram_of_nulls_and_nothing(spark):
     assert sorted(as_rows(length_histogram(some), "length", "documents")) == [(0, 2), (1, 1)]
 
 
-def lines_by_brute_force(texts, min_documents, similarity, depth=3):
+def lines_by_brute_force(texts, min_documents, similarity, depth=3, share_of_words=0.5):
     """The same definition, over dictionaries."""
     lines = [
         (doc, no, tuple(tokens_of(line)))
@@ -149,10 +152,12 @@ def lines_by_brute_force(texts, min_documents, similarity, depth=3):
             for place, token in list(enumerate(tokens))[depth:]
             if places[leaf[tokens], place, token] >= min_documents
         }
-        rest = max(0, len(tokens) - depth)
+        leading = sum(token != "<*>" for token in tokens[:depth])
+        words = leading + sum(token != "<*>" for _, token in kept)
         if (
             len(leaf_holders[leaf[tokens]]) >= min_documents
-            and len(kept) + depth >= similarity * (rest + depth)
+            and leading + len(kept) >= similarity * len(tokens)
+            and words >= share_of_words * len(tokens)
         ):
             template[tokens] = (leaf[tokens], frozenset(kept))
     for doc, no, tokens in lines:
@@ -215,6 +220,41 @@ def test_different_lines_of_numbers_stay(spark):
     found = drop_recurring_lines(table(spark, rows, "doc_id long, text string"), dropped_column="dropped")
     # The first document keeps the common lines as well.
     assert dict(as_rows(found, "doc_id", "dropped")) == {0: []} | {i: [6, 7] for i in range(1, 12)}
+    expected = lines_by_brute_force(dict(rows), 10, 0.7)
+    assert {i: tuple(r) for i, *r in as_rows(found, "doc_id", "dropped", "text")} == expected
+    # The SQL twin has the same definition.
+    connection = duckdb.connect()
+    connection.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    connection.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    twin = connection.execute(f"SELECT doc_id, n_dropped, points_left FROM ({ORACLES['op9_line_dedup']})").fetchall()
+    assert sorted(twin) == sorted((i, len(dropped), len(text)) for i, (dropped, text) in expected.items())
+
+
+def test_rows_that_repeat_count_as_one_document(spark):
+    """Ten documents share a template. One of them ten times, or all of them twice, changes nothing."""
+    rows = [(i, f"own {chr(97 + i) * 3} words{i}x\nAll rights reserved by the house\nkept {i} {i * 7}") for i in range(10)]
+    few = rows[:9] + [rows[0]] * 10
+    for frame_rows, expected in ((rows + [rows[0]] * 10, 9), (rows * 2, 9), (few, 0), (rows + [(None, rows[3][1])] * 2, 10)):
+        frame = table(spark, [(*r, 1) for r in frame_rows], "doc_id long, text string, line_no int").repartition(3)
+        found = as_rows(drop_recurring_lines(frame, dropped_column="dropped"), "doc_id", "text", "dropped")
+        assert Counter(i for i, *_ in found) == Counter(i for i, _ in frame_rows)
+        assert len({(i, t) for i, t, dropped in found if dropped}) == expected
+        texts = dict(frame_rows) if None not in dict(frame_rows) else None
+        if texts:
+            assert {i: (d, t) for i, t, d in found} == lines_by_brute_force(texts, 10, 0.7)
+
+
+def test_texts_of_very_many_lines_are_rebuilt_in_one_pass(spark):
+    """Twice the lines cost about twice the time, not four times."""
+    took = []
+    for lines in (20_000, 80_000):
+        rows = [(i, "All rights reserved here\n" * lines + f"end {i}") for i in range(10)]
+        frame = table(spark, rows, "doc_id long, text string")
+        start = time.perf_counter()
+        found = drop_recurring_lines(frame).select("doc_id", F.length("text").alias("left")).collect()
+        took.append(time.perf_counter() - start)
+        assert sorted(r.left for r in found) == [5] * 9 + [30]
+    assert took[1] < 10 * took[0]
 
 
 @pytest.fixture(scope="module")
