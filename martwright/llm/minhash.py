@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import fresh, keep
 from .components import connected_components
 
 SHINGLE_WORDS = 5
@@ -330,6 +330,27 @@ def near_duplicates(
     )
 
 
+def one_of_each_group(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options
+) -> DataFrame:
+    """The documents that ``near_duplicates`` keeps, with all their columns, and one row of those that
+    repeat an id and text. Rows without an id are all kept."""
+    kept_id, rows, text, place = (fresh(n) for n in ("kept", "rows", "text", "place"))
+    found = near_duplicates(docs, id_column, text_column, **options).filter("kept")
+    kept = keep(found.groupBy(F.col("doc_id").alias(kept_id)).agg(F.count(F.lit(1)).alias(rows)), "kept")
+    repeats = F.col(kept_id).isNotNull() & (F.col(rows) > 1)
+    same = F.col(id_column).cast("long").eqNullSafe(F.col(kept_id))
+    result = docs.join(kept.filter(~repeats), same, "left_semi")
+    repeated = kept.filter(repeats)
+    if not repeated.isEmpty():
+        # The engine limits the rank before the shuffle, so a task sends one row of each.
+        group = Window.partitionBy(id_column, text).orderBy(F.xxhash64(*docs.columns))
+        own = docs.join(repeated, same, "left_semi").withColumn(text, F.xxhash64(text_column))
+        first = own.withColumn(place, F.row_number().over(group)).filter(F.col(place) == 1)
+        result = result.unionByName(first.select(*docs.columns))
+    return result
+
+
 def _bucket_links(
     crowded: DataFrame, owners: DataFrame, texts: DataFrame, shingle_words: int, percent: int
 ) -> DataFrame:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep, numbered, word_count
+from .common import fresh, keep, numbered, word_count
 
 WEIGHTS = (3, 1, 2)
 TOTAL_SHARE = 1.5
@@ -30,6 +30,8 @@ BUCKET_ROWS = 4096
 FAN_IN_BITS = 6
 # Undecided documents per source that every group keeps for the landing, besides the last two.
 HELD = 10
+# Identical rows travel as one row for so many of them, so that they spread over buckets.
+BLOCK_ROWS = BUCKET_ROWS // 16
 SNAP = 1e-9
 
 UNITS = (
@@ -109,10 +111,15 @@ def mix(
     )
     targets = source_targets(sizes.select("source", "size"), weights, total_share, most)
     targets = targets.withColumnRenamed("source", "of")
-    rows = sizes.join(targets, sizes["source"].eqNullSafe(targets["of"])).drop("of")
+    counted = sizes.groupBy(*sizes.columns).agg(F.count(F.lit(1)).alias("all_repeats"))
+    blocks = counted.withColumn("block", F.explode(F.expr(f"sequence(0L, (all_repeats - 1) div {BLOCK_ROWS})")))
+    repeats = F.least(F.lit(BLOCK_ROWS), F.col("all_repeats") - F.col("block") * BLOCK_ROWS).cast("int")
+    rows = blocks.withColumn("repeats", repeats).join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     buckets = max(1, math.ceil(sizes.count() / BUCKET_ROWS))
-    order = F.xxhash64(F.lit(seed), "doc_id", "text_key")
+    order = F.when(F.col("block") == 0, F.xxhash64(F.lit(seed), "doc_id", "text_key")).otherwise(
+        F.xxhash64(F.lit(seed), "doc_id", "text_key", "block")
+    )
     fraction = F.col("ratio") - F.floor("ratio")
     units = rows.withColumn("ratio", ratio).select(
         # A null among integers would turn them into floating point numbers in the groups.
@@ -125,6 +132,7 @@ def mix(
         .when(fraction < SNAP, 0.0)
         .otherwise(fraction)
         .alias("p"),
+        "repeats",
     )
     decided = F.col("p").isin(0.0, 1.0)
     flown = keep(units.groupBy("bucket").applyInPandas(_flight(seed, 0, False), UNITS), "flight")
@@ -157,6 +165,9 @@ def _flight(seed: int, level: int, landing: bool):
     """The flight over one group's rows, each source on its own, in a fixed order."""
 
     def fly(rows: pd.DataFrame) -> pd.DataFrame:
+        if "repeats" in rows:
+            repeats = rows.pop("repeats").to_numpy()
+            rows = rows.iloc[np.repeat(np.arange(len(rows)), repeats)]
         keys = ["doc_id", "no_id", "text_key", "size"]
         rows = rows.sort_values(keys, kind="stable", ignore_index=True)
         mixed = pd.util.hash_array(rows["doc_id"].to_numpy("int64") ^ np.int64(seed))
@@ -222,66 +233,64 @@ def land(p: np.ndarray, size: np.ndarray, undecided: list[int]) -> None:
 def mixed_documents(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
     """The documents of the mix with all their columns, each as often as it is taken."""
     text, source = options.get("text_column", "text"), options.get("source_column", "source")
+    (mix_id, mix_key, mix_source, each, more_left, place) = (fresh(n) for n in ("id", "key", "source", "each", "more", "place"))
     drawn = keep(
         mix(docs, id_column, **options)
         .groupBy("doc_id", "text_key", "source")
         .agg(F.sum("copies").alias("all_copies"), F.count(F.lit(1)).alias("rows"))
         .select(
-            F.col("doc_id").alias("__mix_id"),
-            F.col("text_key").alias("__mix_key"),
-            F.col("source").alias("__mix_source"),
-            F.expr("cast(all_copies div rows as int)").alias("__mix_each"),
-            (F.col("all_copies") % F.col("rows")).alias("__mix_more"),
+            F.col("doc_id").alias(mix_id),
+            F.col("text_key").alias(mix_key),
+            F.col("source").alias(mix_source),
+            F.expr("cast(all_copies div rows as int)").alias(each),
+            (F.col("all_copies") % F.col("rows")).alias(more_left),
         ),
         "drawn",
     )
     key: Column = F.xxhash64(F.col(text))
     same = (
-        F.col(id_column).cast("long").eqNullSafe(F.col("__mix_id"))
-        & (key == F.col("__mix_key"))
-        & F.col(source).cast("string").eqNullSafe(F.col("__mix_source"))
+        F.col(id_column).cast("long").eqNullSafe(F.col(mix_id))
+        & (key == F.col(mix_key))
+        & F.col(source).cast("string").eqNullSafe(F.col(mix_source))
     )
     # Rows that repeat an id, text and source share their copies evenly, and the first of them take
     # one more each until none is left.
-    even = docs.join(drawn.filter("__mix_each > 0 and __mix_more = 0"), same)
-    result = _repeated(even, docs.columns)
-    uneven = drawn.filter("__mix_more > 0")
+    even = docs.join(drawn.filter((F.col(each) > 0) & (F.col(more_left) == 0)), same)
+    result = _repeated(even, docs.columns, each)
+    uneven = drawn.filter(F.col(more_left) > 0)
     if not uneven.isEmpty():
-        placed = docs.withColumn("__mix_place", F.monotonically_increasing_id())
-        more = (F.col("__mix_number") <= F.col("__mix_more")).cast("int")
-        shared = _numbered_repeats(placed.join(uneven, same)).withColumn(
-            "__mix_each", F.col("__mix_each") + more
-        )
-        result = result.unionByName(_repeated(shared.filter("__mix_each > 0"), docs.columns))
+        number = fresh("number")
+        placed = docs.withColumn(place, F.monotonically_increasing_id())
+        more = (F.col(number) <= F.col(more_left)).cast("int")
+        shared = _numbered_repeats(placed.join(uneven, same), [mix_id, mix_key, mix_source], place, number)
+        shared = shared.withColumn(each, F.col(each) + more).filter(F.col(each) > 0)
+        result = result.unionByName(_repeated(shared, docs.columns, each))
     return result
 
 
-def _repeated(rows: DataFrame, columns: list[str]) -> DataFrame:
-    each = F.explode(F.sequence(F.lit(1), F.col("__mix_each")))
-    return rows.withColumn("__mix_copy", each).select(*columns)
+def _repeated(rows: DataFrame, columns: list[str], each: str) -> DataFrame:
+    return rows.withColumn(fresh("copy"), F.explode(F.sequence(F.lit(1), F.col(each)))).select(*columns)
 
 
-def _numbered_repeats(rows: DataFrame) -> DataFrame:
-    """Number the rows of each id, text and source from 1. They are numbered inside each part of the
-    input, and a part starts behind the rows of those before it, so that no task sees all of them."""
-    group = ["__mix_id", "__mix_key", "__mix_source"]
+def _numbered_repeats(rows: DataFrame, group: list[str], place: str, number: str) -> DataFrame:
+    """Number the rows of each group from 1. They are numbered inside each part of the input, and a
+    part starts behind the rows of those before it, so that no task sees all of them."""
+    part, start, inside = fresh("part"), fresh("start"), fresh("inside")
     # The upper bits of a place are the part it was read in.
-    parts = keep(rows.withColumn("__mix_part", F.expr("shiftright(__mix_place, 33)")), "repeats")
-    before = Window.partitionBy(*group).orderBy("__mix_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        parts.groupBy(*group, "__mix_part")
+    parts = keep(rows.withColumn(part, F.shiftright(F.col(place), 33)), "repeats")
+    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*group, part]
+    of = {c: fresh("of") for c in keys}
+    starts = keep(
+        parts.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(
-            *(F.col(c).alias(f"{c}_of") for c in [*group, "__mix_part"]),
-            F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__mix_start"),
-        )
+        .select(*(F.col(c).alias(of[c]) for c in keys), F.coalesce(F.sum("n").over(before), F.lit(0)).alias(start)),
+        "starts",
     )
-    inside = F.row_number().over(Window.partitionBy(*group, "__mix_part").orderBy("__mix_place"))
+    in_part = F.row_number().over(Window.partitionBy(*keys).orderBy(place))
     at = F.lit(True)
-    for column in [*group, "__mix_part"]:
-        at = at & F.col(column).eqNullSafe(F.col(f"{column}_of"))
+    for column in keys:
+        at = at & F.col(column).eqNullSafe(F.col(of[column]))
     return (
-        parts.withColumn("__mix_inside", inside)
-        .join(starts, at)
-        .withColumn("__mix_number", F.col("__mix_inside") + F.col("__mix_start"))
+        parts.withColumn(inside, in_part).join(starts, at).withColumn(number, F.col(inside) + F.col(start))
     )

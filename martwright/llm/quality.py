@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import keep
@@ -249,9 +249,11 @@ def fit(
 ) -> Model | float:
     """Train on the labelled documents that are not held out.
 
-    At most about ``sample_documents`` of each label are taken, by a hash of their ids; the sampled
-    ids are few enough to be broadcast. Where their texts have more than ``SAMPLE_BYTES`` of a label,
-    fewer documents are taken, but each as a whole. Documents with contradicting labels are left out. With one
+    At most ``sample_documents`` of each label are taken, the first by a hash of their ids; the sampled
+    ids are few enough to be broadcast. Of texts that share an id one counts, the same one each time.
+    Where the texts have more than ``SAMPLE_BYTES`` of a label, fewer documents are taken, but each as a
+    whole; a single text above that bound teaches nothing. Both bounds are kept before anything comes to
+    the driver. Documents with contradicting labels are left out. With one
     label only, or none, there is nothing to tell apart: the result is the constant score 1.0, or 0.0
     where every label is 0.
     """
@@ -266,40 +268,30 @@ def fit(
     if len(counts) < 2:
         return 0.0 if 0 in counts else 1.0
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    wanted = F.lit(False)
-    for label, n in counts.items():
-        bound = int((1 << 30) * min(1.0, sample_documents / n))
-        wanted = wanted | ((F.col("label") == label) & (draw < bound))
-    sample = (
-        known.filter(wanted)
-        .groupBy("doc_id")
+    agreed = (
+        known.groupBy("doc_id")
         .agg(F.min("label").alias("label"), F.max("label").alias("other"))
         .filter(F.col("label") == F.col("other"))
-        .select("doc_id", "label")
+        .select(F.col("doc_id").alias("of"), "label", draw.alias("draw"))
     )
+    of_label = [agreed.filter(F.col("label") == v).orderBy("draw", "of").limit(sample_documents) for v in (0, 1)]
+    sample = keep(of_label[0].unionByName(of_label[1]), "sampled")
     texts = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
-    ).join(F.broadcast(sample), "doc_id")
-    drawn = keep(
-        texts.select(
-            "doc_id",
-            "label",
-            draw.alias("draw"),
-            F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data"),
-        ),
-        "sample",
+        F.col(id_column).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("data"),
+    ).join(F.broadcast(sample), F.col("doc_id") == F.col("of"))
+    drawn = keep(texts.groupBy("doc_id", "label", "draw").agg(F.min("data").alias("data")), "sample")
+    # Running sums over as many rows as the sample has ids.
+    until = Window.partitionBy("label").orderBy("draw", "of").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = (
+        drawn.select(F.col("doc_id").alias("of"), "label", "draw", F.octet_length("data").alias("bytes"))
+        .filter(F.col("bytes") <= SAMPLE_BYTES)
+        .withColumn("so_far", F.sum("bytes").over(until))
+        .filter(F.col("so_far") <= SAMPLE_BYTES)
+        .select("of")
     )
-    wanted = F.lit(False)
-    sizes = drawn.select("label", "draw", F.octet_length("data").alias("bytes")).collect()
-    for label in counts:
-        last, left = -1, SAMPLE_BYTES
-        for _, place, size in sorted(row for row in sizes if row["label"] == label):
-            left -= size
-            if left < 0 <= last:
-                break
-            last = place
-        wanted = wanted | ((F.col("label") == label) & (F.col("draw") <= last))
-    found = drawn.filter(wanted).select("doc_id", "label", "data").toArrow()
+    whole = drawn.join(F.broadcast(chosen), F.col("doc_id") == F.col("of"))
+    found = whole.select("doc_id", "label", "data").toArrow()
     rows = sorted(zip(*(found.column(c).to_pylist() for c in found.column_names)))
     label = np.array([r[1] for r in rows], np.float32)
     if len(set(label.tolist())) < 2:

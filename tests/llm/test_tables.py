@@ -303,6 +303,29 @@ def test_the_flight_over_many_buckets(spark, monkeypatch):
         assert sum(r[4] for r in own) == pytest.approx(own[0][3] / own[0][2] * len(own), abs=3)
 
 
+def test_identical_rows_spread_over_buckets(spark, monkeypatch):
+    from martwright.llm import mixing
+
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 200)
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 16)
+    rng = random.Random(3)
+    rows = [(i, "w " * rng.randrange(1, 9), "x", f"s{i % 3}", 0) for i in range(4000)]
+    rows += [(7, "same words", "x", "s1", 0)] * 1500 + [(None, None, "x", None, 0)] * 500
+    frame = table(spark, rows, DOCUMENTS).repartition(7)
+    groups = []
+    keep_ = mixing.keep
+    monkeypatch.setattr(mixing, "keep", lambda df, label: groups.append((label, keep_(df, label))) or groups[-1][1])
+    first = mix(frame, seed=5)
+    sizes = [n for _, n in as_rows(next(df for label, df in groups if label == "flight").groupBy("bucket").count(), "bucket", "count")]
+    assert sum(sizes) == 6000 and max(sizes) <= 400
+    found = Counter(as_rows(first, "doc_id", "text_key", "copies"))
+    assert found == Counter(as_rows(mix(frame.repartition(3), seed=5), "doc_id", "text_key", "copies"))
+    taken = Counter()
+    for source, words, target in as_rows(first, "source", "taken", "target"):
+        taken[source, target] += words
+    assert all(abs(words - target) <= max(20, 0.02 * target) for (_, target), words in taken.items())
+
+
 def test_mixed_documents_keep_their_columns(spark):
     big = 2**62 + 1
     rows = [(1, "a b c", "en", "s", 5)] * 2 + [(big, None, "en", None, 0), (None, "x", "en", "t", 1)]

@@ -342,6 +342,51 @@ def test_quality_of_odd_rows(spark, classified):
     assert quality.classify(frame.limit(0), labels).count() == 0
 
 
+def test_the_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    """A third of all rows share a labelled id, some with texts of their own; some texts are too long."""
+    rows = [(i, f"text {i} " * 20) for i in range(400)]
+    rows += [(1, f"text {n % 3}") for n in range(200)]
+    rows += [(7, "x" * 9000), (8, "y" * 9001)]
+    frame = table(spark, rows, "doc_id long, text string").repartition(5)
+    labels = table(spark, [(i, i % 2) for i in range(400)] * 2 + [(3, 0), (None, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda blocks, filled, owner, label: seen.append((filled, owner, label)) or 0.5)
+    for documents, size in ((50, 1 << 24), (2000, 5000), (2000, 1 << 24)):
+        monkeypatch.setattr(quality, "SAMPLE_BYTES", size)
+        quality.fit(frame, labels, sample_documents=documents)
+        filled, owner, label = seen[-1]
+        for v in (0, 1):
+            own = np.flatnonzero(label == v)
+            assert 10 < len(own) <= documents
+            assert filled[np.isin(owner, own)].sum() <= size
+    assert len(seen[-1][2]) < 400
+
+
+def scores_by_brute_force(model, text):
+    """The network as its definition says, position by position."""
+    data = text.encode()
+    activations = np.zeros((len(data), quality.FILTERS))
+    for i in range(len(data)):
+        window = [data[i + j] if i + j < len(data) else 0 for j in range(quality.WIDTH)]
+        activations[i] = np.maximum(sum(model["filters"][j][b] for j, b in enumerate(window)) + model["bias"], 0)
+    starts = range(0, max(1, len(data) - quality.STRIDE), quality.STRIDE)
+    hidden = []
+    for start in starts:
+        chunk = activations[start : start + quality.CHUNK]
+        count = max(1, len(chunk))
+        inputs = np.concatenate([chunk.sum(axis=0) / count, [count / quality.CHUNK]])
+        hidden.append(np.maximum(inputs @ model["dense"] + model["dense_bias"], 0))
+    return 1 / (1 + np.exp(-(np.max(hidden, axis=0) @ model["out"] + model["out_bias"][0])))
+
+
+def test_scores_against_a_plain_forward_pass():
+    rng = np.random.default_rng(7)
+    model = quality.initial(rng)
+    texts = ["".join(rng.choice(list("ab é!\n日"), n)) for n in (0, 1, 5, 47, 48, 49, 60, 95, 96, 97, 144, 145, 1500)]
+    found = quality.Scorer(model).scores(pa.array(texts, pa.large_string()))
+    assert found == pytest.approx([scores_by_brute_force(model, t) for t in texts], rel=1e-4)
+
+
 def test_scores_do_not_depend_on_the_batch():
     rng = np.random.default_rng(2)
     model = quality.initial(rng)
