@@ -10,13 +10,13 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.llm import quality
-from martwright.llm.common import keep, ship
+from martwright.llm.common import fresh, keep, ship
 from martwright.llm.line_templates import drop_recurring_lines
-from martwright.llm.minhash import near_duplicates
+from martwright.llm.minhash import one_of_each_group
 from martwright.llm.mixing import mixed_documents
 from martwright.llm.packing import pack
 
@@ -32,18 +32,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels)
-    scored = quality.score(docs, model, name="__quality")
-    return scored.filter(F.col("__quality") >= quality.THRESHOLD).select(*docs.columns)
+    name = fresh("quality")
+    scored = quality.score(docs, model, name=name)
+    return scored.filter(F.col(name) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop lines of recurring templates, and documents that had no other line."""
     ship(spark)
-    left = drop_recurring_lines(docs, dropped_column="__dropped")
-    emptied = (F.size("__dropped") > 0) & ~F.rlike(F.col("text"), F.lit(r"[^\x20\x09-\x0D]"))
+    dropped = fresh("dropped")
+    left = drop_recurring_lines(docs, dropped_column=dropped)
+    emptied = (F.size(dropped) > 0) & ~F.rlike(F.col("text"), F.lit(r"[^\x20\x09-\x0D]"))
     left = left.filter(~F.coalesce(emptied, F.lit(False)))
     if "n_chars" in docs.columns:
-        shorter = F.size("__dropped") > 0
+        shorter = F.size(dropped) > 0
         left = left.withColumn(
             "n_chars", F.when(shorter, F.length("text").cast("long")).otherwise(F.col("n_chars"))
         )
@@ -51,22 +53,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near copies, and one row of those that repeat its id and
-    text. Rows without an id are all kept."""
+    """Keep one document of each group of near copies."""
     ship(spark)
-    kept = near_duplicates(docs).filter("kept").groupBy(F.col("doc_id").alias("__kept"))
-    kept = keep(kept.agg(F.count(F.lit(1)).alias("__rows")), "kept")
-    repeats = F.col("__kept").isNotNull() & (F.col("__rows") > 1)
-    same = F.col("doc_id").eqNullSafe(F.col("__kept"))
-    result = docs.join(kept.filter(~repeats), same, "left_semi")
-    repeated = kept.filter(repeats)
-    if not repeated.isEmpty():
-        # The engine limits the rank before the shuffle, so a task sends one row of each.
-        group = Window.partitionBy("doc_id", "__text").orderBy(F.xxhash64(*docs.columns))
-        rows = docs.join(repeated, same, "left_semi").withColumn("__text", F.xxhash64("text"))
-        first = rows.withColumn("__place", F.row_number().over(group)).filter("__place = 1")
-        result = result.unionByName(first.select(*docs.columns))
-    return result
+    return one_of_each_group(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
