@@ -36,6 +36,8 @@ ROWS = 5
 # pivots a round. The engine limits a rank before the shuffle up to 1000.
 SMALL_BUCKET = 64
 MOST_PIVOTS = 512
+# Ids that may be broadcast to leave rows out before a shuffle: 16 MB, and a few times that as a table.
+BROADCAST_IDS = 2_000_000
 # Shingles whose coordinates are computed at once.
 SLICE = 1 << 11
 # Bytes of texts that are split and hashed at once, and the tables for it: A-Z in lower case, blanks
@@ -301,17 +303,18 @@ def near_duplicates(
         ),
         "leaders",
     )
-    buckets = leaders.select(
-        "node", "size", F.col("leader").alias("component"), F.explode("bands").alias("bucket")
-    )
+    # A node has one row, so a bucket counted twice has two nodes; should it be one twice, that bucket
+    # is empty of pairs. What else is known of a node joins the few rows that are left.
+    buckets = leaders.select("node", F.explode("bands").alias("bucket"))
     shared = keep(
-        buckets.groupBy("bucket")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        .filter(F.col("low") < F.col("high"))
-        .select(F.col("bucket").alias("of")),
+        buckets.groupBy(F.col("bucket").alias("of")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("of"),
         "shared",
     )
-    crowded = keep(buckets.join(shared, F.col("bucket") == F.col("of")).drop("of"), "buckets")
+    placed = keep(buckets.join(shared, F.col("bucket") == F.col("of"), "left_semi"), "placed")
+    known = leaders.select(F.col("node").alias("of"), "size", F.col("leader").alias("component"))
+    crowded = keep(
+        placed.join(known, F.col("node") == F.col("of")).select("node", "size", "component", "bucket"), "buckets"
+    )
     owners = leaders.select("node", "class", "leader", "rows")
     links = _bucket_links(crowded, owners, texts, shingle_words, percent)
     same = members.select(F.col("doc_id").alias("a"), F.col("leader").alias("b"))
@@ -358,8 +361,10 @@ def _bucket_links(
     nodes = crowded.select("node").distinct()
     owners = keep(owners.join(nodes, "node", "left_semi"), "owners")
 
+    wanted = _only(texts, "doc_id", owners.select(F.col("leader").alias("wanted")))
+
     def sets_of(some: DataFrame) -> DataFrame:
-        rows = texts.join(some, F.col("doc_id") == F.col("leader")).select("node", "class", "text")
+        rows = wanted.join(some, F.col("doc_id") == F.col("leader")).select("node", "class", "text")
         return rows.mapInArrow(_sets(shingle_words), "node long, shingles array<long>")
 
     # One set per node: a leader that several rows repeat would count its shingles as often.
@@ -381,6 +386,15 @@ def _bucket_links(
     return links
 
 
+def _only(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows with one of the ids of a stored one-column table. Up to ``BROADCAST_IDS`` ids are sent to
+    the rows; with more the rows stay as they are, and the join that follows leaves the others out."""
+    if wanted.count() > BROADCAST_IDS:
+        return rows
+    (name,) = wanted.columns
+    return rows.join(F.broadcast(wanted), F.col(column) == F.col(name), "left_semi")
+
+
 def _round(
     state: DataFrame, sets: DataFrame, pivots: int, small: int, percent: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -451,8 +465,10 @@ def _pairs(state: DataFrame, ranked: DataFrame, percent: int) -> DataFrame:
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The components of the pairs that are links."""
-    members = sets.select(F.col("node").alias("m"), F.col("shingles").alias("member_set"))
-    pivots = sets.select(F.col("node").alias("p"), F.col("shingles").alias("pivot_set"))
+    own = _only(sets, "node", pairs.select(F.col("member").alias("wanted")))
+    theirs = _only(sets, "node", pairs.select(F.col("pivot").alias("wanted")))
+    members = own.select(F.col("node").alias("m"), F.col("shingles").alias("member_set"))
+    pivots = theirs.select(F.col("node").alias("p"), F.col("shingles").alias("pivot_set"))
     return (
         pairs.join(members, F.col("member") == F.col("m"))
         .select("pivot", "component", "pivot_component", "member_set")
@@ -470,8 +486,9 @@ def _prefix_buckets(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     its rarest, can be that, and only those that any partner is small enough for.
     """
     nodes = keep(left.select("node", "size", "component").distinct(), "nodes")
+    own = _only(sets, "node", nodes.select(F.col("node").alias("wanted"))).withColumnRenamed("node", "of")
     shingles = keep(
-        nodes.join(sets.withColumnRenamed("node", "of"), F.col("node") == F.col("of"))
+        nodes.join(own, F.col("node") == F.col("of"))
         .select("node", "size", "component", F.explode("shingles").alias("shingle")),
         "shingles",
     )
@@ -500,7 +517,7 @@ def _prefix_buckets(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 def _open(state: DataFrame, percent: int) -> DataFrame:
     """What is worth comparing: members that something in their bucket could be linked with, in
-    buckets whose members are not all connected. ``top`` marks the component that shares most."""
+    buckets whose members were not all connected. ``top`` marks the component that shares most."""
     # The component that shares most in each bucket, and what any other shares.
     ranked = (
         state.groupBy("bucket", "component")
@@ -534,12 +551,4 @@ def _open(state: DataFrame, percent: int) -> DataFrame:
         .withColumn("top", F.col("component") == F.col("top"))
         .select("bucket", "node", "size", "shared", "component", "top")
     )
-    rows = keep(rows, "state")
-    apart = keep(
-        rows.groupBy("bucket")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter(F.col("low") < F.col("high"))
-        .select(F.col("bucket").alias("of")),
-        "apart",
-    )
-    return keep(rows.join(apart, F.col("bucket") == F.col("of"), "left_semi"), "state")
+    return keep(rows, "state")
