@@ -15,7 +15,7 @@ from .sources import read_parquet, read_table
 
 # Sales rows of about 100 bytes, compressed: files of 100 MB.
 ROWS_PER_FILE = 1_000_000
-# Files of full size that a task writes, in expectation, on a cluster too small for one task each.
+# Files of full size that months which share a task have together, in expectation.
 FILES_PER_TASK = 4
 # Keys that decide where large months are cut.
 SKETCH_KEYS = 100_000
@@ -56,20 +56,16 @@ def write_by_month(
     neighbouring files of its month, and the others' statistics skip them; each file is sorted alike.
     ``last_keys`` should be nearly unique: they let a range end inside a frequent county and category.
 
-    How many tasks write is another matter: neighbouring files share a task, and ``tasks`` (default: as many
-    as the cluster runs at once, and as many more as keep a task at a few files) only says how they are
-    dealt. The layout is decided from the number of rows of each month and, for months that are cut, from
-    a sample of at most about ``SKETCH_KEYS`` of their keys: two passes that read no other columns. Rows
-    that are equal in all keys stay together, and more of them than a file should hold are several files.
+    A range is written by a task of its own. Neighbouring months that are one file each share tasks: ``tasks`` of
+    them, by default as many as the cluster runs at once, and as many more as keep a task at a few files. The
+    layout is decided from the number of rows of each month and, for months that are cut, from a sample of
+    at most about ``SKETCH_KEYS`` of their keys: two passes that read no other columns. Rows that are
+    equal in all keys stay together, and more of them than two files should hold are several files.
     """
     layout = df.withColumn(month_column, month_of(F.col(time_column)))
     keys = [*cluster_columns, *last_keys]
     pieces = _pieces(layout, month_column, keys, rows_per_file)
-    parallel = df.sparkSession.sparkContext.defaultParallelism
-    total = sum(rows for _, _, sizes in pieces for rows in sizes)
-    files = sum(len(sizes) for _, _, sizes in pieces)
-    most = tasks or max(parallel, math.ceil(total / (FILES_PER_TASK * rows_per_file)))
-    dealt, count = _dealt(pieces, total, max(1, min(most, files)))
+    dealt, count = _dealt(pieces, rows_per_file, tasks or df.sparkSession.sparkContext.defaultParallelism)
     order = [month_column, *keys]
     target = fresh_name("task")
     (
@@ -78,8 +74,7 @@ def write_by_month(
         .drop(target)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
-        # Ranges that share a task and a month are one run of rows; what a sample missed is not cut.
-        .option("maxRecordsPerFile", math.ceil(1.5 * rows_per_file))
+        .option("maxRecordsPerFile", 2 * rows_per_file)
         .partitionBy(month_column)
         .parquet(path)
     )
@@ -124,19 +119,22 @@ def _pieces(layout: DataFrame, month: str, keys: Sequence[str], rows_per_file: i
     return result
 
 
-def _dealt(pieces: list[Piece], total: float, tasks: int) -> tuple[list[tuple], int]:
-    """Each month with its pieces' first keys and tasks. Neighbouring pieces go to one task up to its
-    share of all rows; tasks have the numbers from 0 without gaps."""
+def _dealt(pieces: list[Piece], rows_per_file: int, parallel: int) -> tuple[list[tuple], int]:
+    """Each month with its pieces' first keys and tasks, which have the numbers from 0 without gaps."""
+    whole = sum(sizes[0] for _, _, sizes in pieces if len(sizes) == 1)
+    turns = max(parallel, math.ceil(whole / (FILES_PER_TASK * rows_per_file)))
     before, last, number, dealt = 0.0, None, -1, []
     for value, starts, sizes in pieces:
-        own = []
-        for size in sizes:
-            # The middle of a piece decides, so that a large one does not drag others along.
-            turn = int((before + size / 2) * tasks / total)
+        if len(sizes) > 1:
+            own = list(range(number + 1, number + 1 + len(sizes)))
+            number, last = own[-1], None
+        else:
+            # The middle of a month decides, so that a large one does not drag others along.
+            turn = int((before + sizes[0] / 2) * turns / whole)
             if turn != last:
                 last, number = turn, number + 1
-            own.append(number)
-            before += size
+            own = [number]
+            before += sizes[0]
         dealt.append((value, starts, own))
     return dealt, max(1, number + 1)
 

@@ -1,5 +1,6 @@
 import datetime
 import io
+import uuid
 
 import pyarrow as pa
 import pyarrow.csv as arrow_csv
@@ -156,7 +157,7 @@ def test_population_files_with_another_order_of_columns(spark, tmp_path):
 
 def jobs_of(spark, act):
     """Jobs that an action starts."""
-    context, group = spark.sparkContext, f"group {len(str(act))} {id(act)}"
+    context, group = spark.sparkContext, uuid.uuid4().hex
     context.setJobGroup(group, "counted")
     try:
         act()
