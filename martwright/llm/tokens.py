@@ -22,7 +22,7 @@ SPLIT = r"('s|'t|'re|'ve|'m|'ll|'d|[^\s\pL\pN]+|\pN)"
 NOT_PLAIN = r"[^\t\n\f\r -~¡-įı-ſ‐-‧‰-⁞€]|<\|"
 # Words kept with their ids per Python worker; words beyond it are encoded again in every batch.
 KEPT_WORDS = 300_000
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 
 
 def default_path() -> str:
@@ -37,11 +37,12 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer = normalizers.Sequence([])
+        # One copy of the vocabulary and merges serves both. What the file adds to them are special tokens,
+        # whose opening sends a text the other way.
+        self.words = Tokenizer(self.whole.model)
         self.words.pre_tokenizer = pre_tokenizers.Sequence(
             [
                 pre_tokenizers.WhitespaceSplit(),
