@@ -13,6 +13,8 @@ from ..operators import within_years
 from ..sources import read_parquet
 
 YEARS = (1996, 1999)
+# Rows of about 200 bytes: files that are not split have 100 MB of text.
+ROWS_PER_RAW_FILE = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -155,5 +157,12 @@ def population_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """A raw file set, as input for landing."""
-    df.write.option("header", True).option("escape", '"').csv(path)
+    """A raw file set, as input for landing. Its files are compressed, as raw sets of that size are, and
+    of at most so many rows that one task reads one of them."""
+    (
+        df.write.option("header", True)
+        .option("escape", '"')
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", ROWS_PER_RAW_FILE)
+        .csv(path)
+    )

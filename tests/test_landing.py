@@ -9,6 +9,7 @@ import pytest
 from martwright import schemas
 from martwright.plans import land_sales, prepare_population
 from martwright.sources import land_csv, read_text_csv, typed
+from martwright.workload import star
 
 from .conftest import plan_text, sorted_rows
 
@@ -204,3 +205,17 @@ def test_typed_reports_the_row(spark):
     df = spark.createDataFrame([("1", "x", "2012", "oops", "")], schemas.as_text(schemas.POPULATION))
     with pytest.raises(Exception, match="oops"):
         typed(df, schemas.POPULATION).collect()
+
+
+def test_raw_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(star, "ROWS_PER_RAW_FILE", 40, raising=False)
+    rows = [(f"INV-{i}", "MACHINE  TOWN", 'A, "B"', None if i % 3 else "NA", "") for i in range(100)]
+    frame = spark.createDataFrame(rows, "a string, b string, c string, d string, e string").coalesce(1)
+    path = str(tmp_path / "raw")
+    star.write_csv(frame, path)
+    files = sorted((tmp_path / "raw").glob("part-*"))
+    assert len(files) == 3 and sum(f.stat().st_size for f in files) < 2000
+    read = read_text_csv(spark, path, frame.schema)
+    expected = [tuple(v or None for v in row) for row in rows]
+    found = [tuple(v or None for v in row) for row in read.collect()]
+    assert sorted(found, key=str) == sorted(expected, key=str)
