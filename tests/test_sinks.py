@@ -1,5 +1,6 @@
 import datetime
 import uuid
+from collections import Counter
 from pathlib import Path
 
 import pyarrow.parquet as pq
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from martwright.operators import within_years
-from martwright.sinks import publish_view, save_table, write_by_month, write_parquet
+from martwright.sinks import _dealt, publish_view, save_table, write_by_month, write_parquet
 from martwright.sources import read_parquet, read_table
 from martwright.storage import discard, folders, scratch_path
 
@@ -240,3 +241,12 @@ def test_folders_and_discard(spark, tmp_path):
     assert sorted(folders(spark, root)) == ["a", "b"]
     discard(spark, f"{root}/a")
     assert folders(spark, root) == ["b"]
+
+
+def test_months_that_share_a_task_fit_its_memory():
+    # Seven years of 430,000 rows a month: with four full files a task, 12 tasks sorted 3 million rows each.
+    pieces = [(month, [], [430_000.0]) for month in range(84)]
+    dealt, count = _dealt(pieces, 1_000_000, 12)
+    of_task = Counter(own[0] for _, _, own in dealt)
+    assert sorted(of_task) == list(range(count))
+    assert 430_000 * max(of_task.values()) <= 1_500_000
