@@ -250,3 +250,85 @@ def test_months_that_share_a_task_fit_its_memory():
     of_task = Counter(own[0] for _, _, own in dealt)
     assert sorted(of_task) == list(range(count))
     assert 430_000 * max(of_task.values()) <= 1_500_000
+
+
+def shuffle_files(spark):
+    """Data of shuffles on this machine's disk, by file."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = [file for folder in disk.localDirsString() for file in Path(folder).rglob("shuffle_*.data")]
+    return {file: file.stat().st_size for file in found}
+
+
+def test_rows_travel_to_their_months_in_packs(spark):
+    """A third of what the rows would take one by one, at most."""
+    from martwright.sinks import _gathered
+
+    i = F.col("id")
+    wide = spark.range(0, 200_000, 1, 4).select(
+        (i % 24).cast("int").alias("target"),
+        *(F.concat(F.lit(f"text {k} "), F.pmod(F.hash(i, F.lit(k)), F.lit(500))).alias(f"t{k}") for k in range(10)),
+        *(F.pmod(F.hash(i, F.lit(k)), F.lit(90)).cast("double").alias(f"d{k}") for k in range(10)),
+    )
+    sizes = []
+    for df in (wide.repartitionById(24, F.col("target")), _gathered(wide, "target", 24)):
+        before = set(shuffle_files(spark))
+        df.write.format("noop").mode("overwrite").save()
+        sizes.append(sum(size for file, size in shuffle_files(spark).items() if file not in before))
+    assert 0 < 3 * sizes[1] < sizes[0]
+
+
+def odd_values(spark):
+    columns = {
+        "id": "id",
+        "sale_date": "timestamp_ntz'0001-01-01' + make_interval(0, id * 500)",
+        "yes": "id % 2 = 0",
+        "byte": "CAST(id - 60 AS tinyint)",
+        "short": "CAST(-id AS smallint)",
+        "long": "id * 9000000000000000",
+        "float": "CAST(id / 7 AS float)",
+        "double": "CASE id % 5 WHEN 0 THEN -0.0D WHEN 1 THEN 0.0D WHEN 2 THEN double('NaN') WHEN 3 THEN double('-Infinity') ELSE id / 3 END",
+        "text": "CASE id % 4 WHEN 0 THEN '' WHEN 1 THEN concat('\u00e9\n\"', repeat('x', int(id))) WHEN 2 THEN '\U0001f600' END",
+        "bytes": "encode(CASE WHEN id % 3 > 0 THEN concat('b', id) END, 'UTF-16')",
+        "day": "date'1500-03-01' + int(id * 1000)",
+        "at": "timestamp'1890-01-01 00:00:00.000001' + make_dt_interval(int(id) * 400)",
+        "amount": "CAST(id / 100 AS decimal(20, 3))",
+        "odd `name.": "IF(id = 7, NULL, 'n')",
+    }
+    df = spark.range(120).selectExpr(*(f"{rule} AS `{name.replace('`', '``')}`" for name, rule in columns.items()))
+    # Whole rows without a value, too.
+    return df.unionByName(spark.range(2).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema)))
+
+
+def as_text(df):
+    """Rows as text, which keeps the sign of zero."""
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    return sorted(plain.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).toPandas().iloc[:, 0])
+
+
+@pytest.mark.parametrize("packed_bytes", [1, 5000, 64_000_000])
+def test_packs_return_every_value(spark, tmp_path, monkeypatch, conf, packed_bytes):
+    from martwright import sinks
+
+    monkeypatch.setattr(sinks, "PACKED_BYTES", packed_bytes)
+    conf("spark.sql.session.timeZone", "America/Los_Angeles")
+    conf("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    df = odd_values(spark)
+    placed = df.withColumn("target", F.coalesce(F.col("id") % 3, F.lit(0)).cast("int"))
+    gathered = sinks._gathered(placed, "target", 3)
+    assert "MapInArrow" in plan_text(gathered)
+    assert gathered.schema == df.schema and as_text(gathered) == as_text(df)
+    at = gathered.withColumn("partition", F.spark_partition_id()).filter("id IS NOT NULL AND id % 3 != partition")
+    assert at.count() == 0
+    path = str(tmp_path / "fact")
+    write_by_month(df, path, cluster_columns=["text"], last_keys=["id"])
+    assert as_text(spark.read.parquet(path).drop("sale_month")) == as_text(df)
+
+
+def test_other_columns_travel_row_by_row(spark, tmp_path):
+    df = one_month(spark, F.lit("c"), 500).withColumns(
+        {"pairs": F.create_map("county", "id"), "span": F.expr("make_dt_interval(int(id))"), "list": F.array("id", F.lit(None))}
+    )
+    path = str(tmp_path / "fact")
+    write_by_month(df, path, last_keys=["id"], rows_per_file=100)
+    assert as_text(spark.read.parquet(path).select(*df.columns)) == as_text(df)
+    assert len(files(path, "2012-01-01")) == 5
