@@ -87,25 +87,30 @@ def population(
 
 def full_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 24 columns of the sales file, typed. Texts are upper-case and irregular, as in a
-    raw file: empty cities, quotes, commas, double blanks, hyphens."""
+    raw file: empty cities, quotes, commas, double blanks, hyphens.
+
+    Lines meet their orders before their parts, whose texts are longer and would be shuffled with them."""
+    col = F.col
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     customers = customer_regions(spark, sf_dir).select(
-        "c_custkey", "c_acctbal", "c_mktsegment", "county", "fips"
+        "c_custkey",
+        F.when(col("c_acctbal") < 0, "").otherwise(col("c_mktsegment")).alias("city"),
+        "county",
+        "fips",
     )
     parts = table(spark, sf_dir, "part")
-    located = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    col = F.col
+    located = orders.join(customers, col("o_custkey") == col("c_custkey"))
     return (
-        lines.join(parts, col("l_partkey") == col("p_partkey"))
-        .join(located, col("l_orderkey") == col("o_orderkey"))
+        lines.join(located, col("l_orderkey") == col("o_orderkey"))
+        .join(parts, col("l_partkey") == col("p_partkey"))
         .select(
             _text("INV-", col("l_orderkey"), "-", col("l_linenumber")).alias("invoice_item_number"),
             col("l_shipdate").alias("sale_date"),
             col("l_suppkey").alias("store_number"),
             _text("STORE-", col("o_orderpriority")).alias("store_name"),
             _text(F.upper("p_name"), "  ROAD").alias("address"),
-            F.when(col("c_acctbal") < 0, "").otherwise(col("c_mktsegment")).alias("city"),
+            "city",
             F.lpad(col("fips").cast("string"), 5, "0").alias("zip_code"),
             _text("POINT (-", col("fips"), " ", col("p_size"), ")").alias("store_location"),
             col("fips").alias("county_number"),

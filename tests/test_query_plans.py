@@ -74,3 +74,13 @@ def test_lines_meet_their_sums_before_the_join(plan, conf):
     text = plan("mart_category_totals")
     assert text.count("Exchange hashpartitioning(l_partkey") == 1
     assert text.count("Exchange") == 3
+
+
+def test_lines_do_not_carry_the_texts_of_their_parts_to_their_orders(spark, conf):
+    from martwright.workload import star
+
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan_text(star.full_sales(spark, SF_DIR))
+    # The plan is printed from the last step to the first.
+    assert text.index("Exchange hashpartitioning(l_partkey") < text.index("Exchange hashpartitioning(l_orderkey")
+    assert text.count("Exchange hashpartitioning(l_") == 2
