@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import year_of
 from ..operators import within_years
+from ..sinks import without_leftovers
 from ..sources import read_parquet
 
 YEARS = (1996, 1999)
@@ -164,10 +165,6 @@ def population_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> None:
     """A raw file set, as input for landing. Its files are compressed, as raw sets of that size are, and
     of at most so many rows that one task reads one of them."""
-    (
-        df.write.option("header", True)
-        .option("escape", '"')
-        .option("compression", "gzip")
-        .option("maxRecordsPerFile", ROWS_PER_RAW_FILE)
-        .csv(path)
-    )
+    writer = df.write.option("header", True).option("escape", '"').option("compression", "gzip")
+    with without_leftovers(df.sparkSession):
+        writer.option("maxRecordsPerFile", ROWS_PER_RAW_FILE).csv(path)
